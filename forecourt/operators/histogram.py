@@ -29,6 +29,11 @@ CHUNK = 1 << 22
 GROUP_STATS = ("n_group", "mean", "std", "mean_log", "std_log")
 
 
+def bucket() -> Column:
+    """Bucket of `x`; buckets are ordered like values."""
+    return F.expr(f"x div {CHUNK}")
+
+
 def value_histogram(rows: DataFrame, keys: Sequence[str], copies: str | None = None) -> DataFrame:
     """Count rows (or sum `copies`) per keys and value `x`.
 
@@ -37,7 +42,7 @@ def value_histogram(rows: DataFrame, keys: Sequence[str], copies: str | None = N
     """
     counted = F.sum(copies) if copies else F.count(F.lit(1))
     return (
-        rows.withColumn("bucket", F.expr(f"x div {CHUNK}"))
+        rows.withColumn("bucket", bucket())
         .groupBy(*keys, "bucket", "x")
         .agg(counted.alias("n"))
     )

@@ -15,8 +15,8 @@ def outlier_report(comparison: DataFrame, by: Sequence[str], min_n: int = 11) ->
     """Average outlier count and share per key, by model year, make or both."""
     metrics = {}
     for name in RULES:
-        metrics[f"outlier_{name}"] = f"round(avg(outlier_{name}_{min_n}), 6)"
-        metrics[f"outlier_{name}_pct"] = f"round(avg(outlier_{name}_pct_{min_n}), 6)"
+        metrics[f"outlier_{name}"] = f"round(avg(outlier_{name}_{min_n}), 10)"
+        metrics[f"outlier_{name}_pct"] = f"round(avg(outlier_{name}_pct_{min_n}), 10)"
     return comparison.groupBy(*by).agg(*X.named(metrics))
 
 
