@@ -26,7 +26,10 @@ from forecourt.functions import expressions as X
 CHUNK = 1 << 22
 
 # Statistics of a whole group, as `locate` gives them.
-GROUP_STATS = ("n_group", "mean", "std", "mean_log", "std_log")
+GROUP_STATS = ("n_group", "low", "high", "mean", "std", "mean_log", "std_log")
+
+# Ranks whose values make the median: one middle rank for odd groups, two for even ones.
+MIDDLE_RANKS = ("floor((n_group + 1) / 2)", "floor(n_group / 2) + 1")
 
 
 def bucket() -> Column:
@@ -51,7 +54,7 @@ def value_histogram(rows: DataFrame, keys: Sequence[str], copies: str | None = N
 def locate(hist: DataFrame, group: Sequence[str]) -> DataFrame:
     """One row per group and bucket, with the statistics of the whole group.
 
-    `n_below` counts the rows of the group in lower buckets.
+    `n_bucket` counts the rows of the bucket, `n_below` those in lower buckets.
     """
     parts = hist.groupBy(*group, "bucket").agg(
         *X.named(
@@ -72,7 +75,9 @@ def locate(hist: DataFrame, group: Sequence[str]) -> DataFrame:
     sums = {
         "n_group": f"sum(n_bucket) {whole}",
         "n_below": f"coalesce(sum(n_bucket) {lower}, 0L)",
-        "varied": f"min(low) {whole} < max(high) {whole}",
+        "n_bucket": "n_bucket",
+        "low": f"min(low) {whole}",
+        "high": f"max(high) {whole}",
         **{c: f"sum({c}) {whole}" for c in ("sum_x", "sum_xx", "sum_log", "sum_log2")},
     }
     stats = {
@@ -82,18 +87,27 @@ def locate(hist: DataFrame, group: Sequence[str]) -> DataFrame:
         "std_log": _sample_std("sum_log2", "sum_log"),
     }
     located = parts.select(*group, "bucket", *X.named(sums))
-    return located.select(*group, "bucket", "n_below", "n_group", *X.named(stats))
+    return located.select(
+        *group, "bucket", "n_bucket", "n_below", "n_group", "low", "high", *X.named(stats)
+    )
 
 
 def _sample_std(squares: str, total: str) -> str:
     """SQL text: NULL for one row, exactly 0 for equal rows."""
     spread = f"sqrt(greatest({squares} - pow({total}, 2) / n_group, 0D) / (n_group - 1))"
-    return f"case when n_group > 1 then if(varied, {spread}, 0D) end"
+    return f"case when n_group > 1 then if(low < high, {spread}, 0D) end"
 
 
-def group_stats(located: DataFrame) -> DataFrame:
+def group_stats(located: DataFrame, group: Sequence[str]) -> DataFrame:
     """One row per group: the row of its lowest bucket."""
-    return located.filter(F.col("n_below") == 0).drop("bucket", "n_below")
+    return located.filter(F.col("n_below") == 0).select(*group, *GROUP_STATS)
+
+
+def middle(located: DataFrame) -> DataFrame:
+    """The one or two buckets per group that hold its median."""
+    last = "n_below + n_bucket"
+    hits = [f"({rank} > n_below and {rank} <= {last})" for rank in MIDDLE_RANKS]
+    return located.filter(" or ".join(hits))
 
 
 def ranked(hist: DataFrame, located: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -125,9 +139,8 @@ def attach(
 
 def median_of(condition: str = "true") -> str:
     """SQL text over ranked rows: exact median, the mean of the middle one or two ranks."""
-    middle = ("floor((n_group + 1) / 2)", "floor(n_group / 2) + 1")
     hits = [
         f"sum(case when {condition} and {rank} between first_rank and last_rank then x end)"
-        for rank in middle
+        for rank in MIDDLE_RANKS
     ]
     return f"(({' + '.join(hits)}) / 200D)"

@@ -12,11 +12,16 @@ from forecourt.functions.rules import RULES
 
 
 def outlier_report(comparison: DataFrame, by: Sequence[str], min_n: int = 11) -> DataFrame:
-    """Average outlier count and share per key, by model year, make or both."""
+    """Average outlier count and share per key, by model year, make or both.
+
+    Shares have six digits and are added as whole millionths, alike in every order.
+    """
     metrics = {}
     for name in RULES:
-        metrics[f"outlier_{name}"] = f"round(avg(outlier_{name}_{min_n}), 10)"
-        metrics[f"outlier_{name}_pct"] = f"round(avg(outlier_{name}_pct_{min_n}), 10)"
+        count, share = f"outlier_{name}_{min_n}", f"outlier_{name}_pct_{min_n}"
+        millionths = f"sum(bigint(round({share} * 1000000)))"
+        metrics[f"outlier_{name}"] = f"avg({count})"
+        metrics[f"outlier_{name}_pct"] = f"{millionths} / (count({share}) * 1000000D)"
     return comparison.groupBy(*by).agg(*X.named(metrics))
 
 

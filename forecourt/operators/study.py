@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 
 from forecourt.functions import expressions as X
 from forecourt.functions.rules import Rule, small, with_inside
-from forecourt.operators.histogram import attach, locate, median_of, ranked, value_histogram
+from forecourt.operators.histogram import (
+    attach,
+    locate,
+    median_of,
+    middle,
+    ranked,
+    value_histogram,
+)
 
 
 def price_histogram(
@@ -24,24 +31,28 @@ def price_histogram(
     )
 
 
-def base_stats(hist: DataFrame, key: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+def base_stats(hist: DataFrame, key: Sequence[str]) -> DataFrame:
     """Row count, mean, deviation, extremes and rounded median per key.
 
-    Grouping is by the key alone; a carried column takes its lowest value.
+    Only values of the middle buckets are ranked; the rest comes with the buckets.
     """
-    rows = ranked(hist, locate(hist, key), key)
+    rows = ranked(hist, middle(locate(hist, key)), key)
     stats = {
-        **{c: f"min({c})" for c in carry},
         "n": "max(n_group)",
         "mean": X.whole("max(mean)"),
         "std": X.whole("max(std)"),
         "median": X.whole(median_of()),
-        "min": X.whole("min(x) / 100D"),
-        "max": X.whole("max(x) / 100D"),
+        "min": X.whole("max(low) / 100D"),
+        "max": X.whole("max(high) / 100D"),
     }
     return rows.groupBy(*key).agg(*X.named(stats))
 
 
+def described(hist: DataFrame, key: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """One row per key with the lowest value of each carried column."""
+    return hist.groupBy(*key).agg(*[F.min(c).alias(c) for c in carry])
+
+
 def dispersion(hist: DataFrame, base: DataFrame, key: Sequence[str]) -> DataFrame:
     """Median and mean absolute deviation from the rounded median.
 
@@ -51,12 +62,8 @@ def dispersion(hist: DataFrame, base: DataFrame, key: Sequence[str]) -> DataFram
         *key, *X.named({"x": "abs(x - median * 100)"}), "n"
     )
     gap_hist = value_histogram(gaps, key, copies="n")
-    rows = ranked(gap_hist, locate(gap_hist, key), key)
-    stats = {
-        "mad": median_of(),
-        "meanad": X.mean_of(X.total("x", "n"), "sum(n)"),
-    }
-    return rows.groupBy(*key).agg(*X.named(stats))
+    rows = ranked(gap_hist, middle(locate(gap_hist, key)), key)
+    return rows.groupBy(*key).agg(*X.named({"mad": median_of(), "meanad": "max(mean)"}))
 
 
 def judged(hist: DataFrame, key: Sequence[str], fitted: DataFrame | None = None) -> DataFrame:
@@ -68,14 +75,20 @@ def judged(hist: DataFrame, key: Sequence[str], fitted: DataFrame | None = None)
 
 
 def estimates(
-    rows: DataFrame, key: Sequence[str], rules: Sequence[Rule], min_ns: Sequence[int]
+    rows: DataFrame,
+    key: Sequence[str],
+    rules: Sequence[Rule],
+    min_ns: Sequence[int],
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Per rule and minimum sample: mean of kept prices, outlier count and share.
 
     Every rule is a column of one aggregation. The minimum sample is a matter of
     the whole group, so it is applied to the sums and costs no further pass.
+    `keep` names per-key columns of the rows to pass on.
     """
-    sums = {"n_group": "sum(n)", "total": X.total("x", "n")}
+    sums = {c: f"max({c})" for c in keep}
+    sums |= {"n_group": "sum(n)", "total": X.total("x", "n")}
     columns = {}
     for rule in rules:
         inside, total = f"inside_{rule.name}", f"total_{rule.name}"
@@ -89,4 +102,4 @@ def estimates(
             columns[f"outlier_{rule.name}_{t}"] = outliers
             columns[f"outlier_{rule.name}_pct_{t}"] = X.share(outliers, "n_group")
     totals = with_inside(rows, rules).groupBy(*key).agg(*X.named(sums))
-    return totals.select(*key, *X.named(columns))
+    return totals.select(*key, *keep, *X.named(columns))

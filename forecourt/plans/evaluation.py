@@ -16,6 +16,7 @@ from forecourt.operators.listing import study_rows, with_names
 from forecourt.operators.scoring import add_sums, common_errors, common_sums, mae_own
 from forecourt.operators.study import (
     base_stats,
+    described,
     dispersion,
     estimates,
     judged,
@@ -55,13 +56,9 @@ def histogram(inputs: Inputs, grain: Grain, start: date | str, end: date | str)
     return price_histogram(named_rows(inputs, grain, start, end), grain.key, grain.carry)
 
 
-def profile(hist: DataFrame, grain: Grain, deviations: bool = True) -> DataFrame:
-    """Base statistics per key, with both deviations if wanted. Stage `hist` before."""
-    base = base_stats(hist, grain.key, grain.carry)
-    if not deviations:
-        return base
-    spread = dispersion(hist, base, grain.key)
-    return base.join(spread, list(grain.key), "inner")
+def fitted_bounds(hist: DataFrame, base: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Median and both deviations per key: what rules need beyond group statistics."""
+    return base.select(*key, "median").join(dispersion(hist, base, key), list(key), "inner")
 
 
 def rule_table(
@@ -73,7 +70,8 @@ def rule_table(
     key = list(grain.key)
     if chosen.deviations:
         hist = stage(hist, "prices")
-        rows = judged(hist, key, profile(hist, grain).select(*key, "median", "mad", "meanad"))
+        base = stage(base_stats(hist, key).select(*key, "median"), "medians")
+        rows = judged(hist, key, fitted_bounds(hist, base, key))
     else:
         rows = judged(hist, key)
     return estimates(rows, key, [chosen], [min_n])
@@ -99,17 +97,24 @@ def fit(
     """Estimates of all rules beside the base statistics, one row per key."""
     key = list(grain.key)
     hist = stage(histogram(inputs, grain, start, end), "prices")
-    known = stage(profile(hist, grain), "profile")
-    rows = judged(hist, key, known.select(*key, "median", "mad", "meanad"))
-    comparison = known.join(estimates(rows, key, rules, min_ns), key, "inner")
-    return Study(grain, hist, comparison)
+    base = stage(base_stats(hist, key), "base")
+    rows = judged(hist, key, fitted_bounds(hist, base, key))
+    fitted = estimates(rows, key, rules, min_ns, keep=("mad", "meanad"))
+    return Study(grain, hist, base.join(fitted, key, "inner"))
 
 
 def compare_methods(
     inputs: Inputs, grain: Grain, start: date | str, end: date | str
 ) -> DataFrame:
-    """The wide comparison of all rules at both minimum samples."""
-    return fit(inputs, grain, start, end).comparison
+    """The wide comparison of all rules at both minimum samples, with names."""
+    study = fit(inputs, grain, start, end)
+    return with_description(study)
+
+
+def with_description(study: Study) -> DataFrame:
+    """The comparison with the columns that describe its keys, such as the make."""
+    key, carry = list(study.grain.key), study.grain.carry
+    return study.comparison.join(described(study.hist, key, carry), key, "inner")
 
 
 def own_errors(study: Study, min_ns: Sequence[int] = MIN_NS) -> DataFrame:

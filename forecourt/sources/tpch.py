@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forecourt.functions.expressions import MONEY
-from forecourt.sources.schemas import Inputs
+from forecourt.sources.schemas import HIST, Inputs
 from forecourt.staging import stage
 
 # Part types in alphabetical order (model ids 1 to 6), miles between
@@ -26,16 +26,19 @@ _staged: dict[tuple[str, str], Inputs] = {}
 def staged_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     """The derived tables as files, written once per application and folder.
 
-    Queries then start from tables like those of a warehouse, where the latest
-    record of a car is flagged and filters reach the scan.
+    Queries then start from tables like those of a warehouse, and their filters
+    reach the scan. The history holds the latest record of each car only.
     """
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _staged:
         derived = inputs(spark, sf_dir)
+        latest = _cars(_lineitem(spark, sf_dir)).filter("latest_record_flg")
+        cars = stage(latest.sortWithinPartitions("vin_last_dt"), "cars")
+        part = spark.read.parquet(f"{sf_dir}/part.parquet")
         _staged[at] = Inputs(
-            hist=stage(derived.hist.sortWithinPartitions("vin_last_dt"), "hist"),
+            hist=cars.select(HIST.names),
             dealers=derived.dealers,
-            vins=stage(derived.vins, "vins"),
+            vins=stage(_vins(cars, part), "vins"),
             divisions=stage(derived.divisions, "divisions"),
             models=stage(derived.models, "models"),
             zipdist=stage(derived.zipdist, "zipdist"),
@@ -44,43 +47,39 @@ def staged_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
     supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    ranked = _ranked(lineitem)
+    cars = _cars(_lineitem(spark, sf_dir))
     return Inputs(
-        hist=_hist(ranked),
+        hist=cars.select(HIST.names),
         dealers=_dealers(supplier),
-        vins=_vins(ranked, part),
+        vins=_vins(cars, part),
         divisions=_divisions(part),
         models=_models(part),
         zipdist=_zipdist(nation),
     )
 
 
-def _ranked(lineitem: DataFrame) -> DataFrame:
-    """Records of one car (order and line number), newest first.
+def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
-    A later filter on the first record becomes a group limit before the shuffle,
-    so each task sends at most one record per car, however often a car repeats.
+
+def _cars(lineitem: DataFrame) -> DataFrame:
+    """Listing history with the part of each record.
+
+    The newest record of a car (order and line number) is its latest one. A
+    later filter on the flag becomes a group limit before the shuffle, so each
+    task sends at most one record per car, however often a car repeats.
     """
     newest_first = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
         F.desc("l_shipdate"), "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
     )
-    return lineitem.withColumn("rn", F.row_number().over(newest_first))
-
-
-def _vin() -> Column:
-    return (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
-
-
-def _hist(ranked: DataFrame) -> DataFrame:
     quantity = F.col("l_quantity").cast("int")
     last_seen = F.col("l_shipdate").cast("date")
     repeated_price = (F.col("l_partkey") % 10 == 0) & (F.col("l_orderkey") % 3 != 0)
-    return ranked.select(
-        _vin().alias("vin"),
+    return lineitem.withColumn("rn", F.row_number().over(newest_first)).select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("vin"),
         F.col("l_suppkey").alias("dealer_id"),
         F.date_sub(last_seen, quantity).alias("vin_frst_dt"),
         last_seen.alias("vin_last_dt"),
@@ -90,6 +89,7 @@ def _hist(ranked: DataFrame) -> DataFrame:
         .otherwise(F.col("l_extendedprice").cast(MONEY))
         .alias("price"),
         (quantity * 1000 + F.col("l_linenumber") * 137).cast(MONEY).alias("mileage"),
+        F.col("l_partkey").alias("p_partkey"),
     )
 
 
@@ -99,10 +99,8 @@ def _dealers(supplier: DataFrame) -> DataFrame:
     )
 
 
-def _vins(ranked: DataFrame, part: DataFrame) -> DataFrame:
-    cars = ranked.filter(F.col("rn") == 1).select(
-        _vin().alias("vin"), F.col("l_partkey").alias("p_partkey")
-    )
+def _vins(cars: DataFrame, part: DataFrame) -> DataFrame:
+    latest = cars.filter("latest_record_flg").select("vin", "p_partkey")
     styles = part.select(
         "p_partkey",
         F.when(F.col("p_size") != 50, F.col("p_partkey")).alias("style_id"),
@@ -112,7 +110,7 @@ def _vins(ranked: DataFrame, part: DataFrame) -> DataFrame:
         _make_id(),
         _model_id(),
     )
-    return cars.join(styles, "p_partkey", "inner").drop("p_partkey")
+    return latest.join(styles, "p_partkey", "inner").drop("p_partkey")
 
 
 def _make_id() -> Column:

@@ -439,8 +439,11 @@ def mae_by_window() -> str:
 def outlier_report(by: str) -> str:
     columns = {}
     for name in KEPT:
-        columns[f"outlier_{name}"] = f'round(avg("outlier_{name}_11"), 10)'
-        columns[f"outlier_{name}_pct"] = f'round(avg("outlier_{name}_pct_11"), 10)'
+        columns[f"outlier_{name}"] = f'avg("outlier_{name}_11")'
+        share = f'"outlier_{name}_pct_11"'
+        columns[f"outlier_{name}_pct"] = (
+            f"cast(sum(cast(round({share} * 1e6) as bigint)) as double) / (count({share}) * 1e6)"
+        )
     return f"""{with_ctes(comparison_ctes(STYLE, STUDY_START, AS_OF))}
       select {by}, {named(columns)} from comparison group by {by}"""
 

@@ -20,10 +20,11 @@ from forecourt.operators.listing import (
     with_snapshots,
     with_ymm_key,
 )
-from forecourt.operators.study import base_stats, dispersion
+from forecourt.operators.study import base_stats, described, dispersion
 from forecourt.plans import daily
 from forecourt.plans import evaluation as ev
 from forecourt.sources.schemas import Inputs
+from forecourt.sources.tpch import inputs as derived_inputs
 from forecourt.sources.tpch import staged_inputs
 from forecourt.staging import new_path, stage
 
@@ -129,7 +130,7 @@ def _log_profile(spark: SparkSession, sf: str) -> DataFrame:
         "mean_log": "round(mean_log, 6)",
         "std_log": "round(std_log, 6)",
     }
-    stats = group_stats(locate(hist, ["dealer_id", "sold"]))
+    stats = group_stats(locate(hist, ["dealer_id", "sold"]), ["dealer_id", "sold"])
     return stats.select("dealer_id", "sold", *X.named(profile))
 
 
@@ -142,7 +143,7 @@ def _log2s_trim(spark: SparkSession, sf: str) -> DataFrame:
         "vin", "dealer_id", sold.alias("sold"), *X.named({"x": X.hundredths("price")})
     ).withColumn("bucket", bucket())
     group = ["dealer_id", "sold"]
-    stats = group_stats(locate(value_histogram(rows, group), group))
+    stats = group_stats(locate(value_histogram(rows, group), group), group)
     judged = attach(rows, stats, group)
     return judged.select("vin", "dealer_id", "sold", *X.named({"keep": metrics.keep_log_sigma()}))
 
@@ -195,12 +196,23 @@ def _prices(spark: SparkSession, sf: str, grain: ev.Grain) -> DataFrame:
 
 
 def _base(grain: ev.Grain) -> Query:
-    return lambda spark, sf: base_stats(_prices(spark, sf, grain), grain.key, grain.carry)
+    return lambda spark, sf: base_stats(_prices(spark, sf, grain), grain.key)
+
+
+def _named_base(grain: ev.Grain) -> Query:
+    """Base statistics with the columns that describe the key."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        hist = stage(_prices(spark, sf, grain), "prices")
+        names = described(hist, grain.key, grain.carry)
+        return base_stats(hist, grain.key).join(names, list(grain.key), "inner")
+
+    return run
 
 
 def _labelled_ymm(spark: SparkSession, sf: str) -> DataFrame:
     label = X.ymm_label(F.col("model_year"), F.col("make_id"), F.col("model_id"))
-    return _base(ev.YMM)(spark, sf).withColumn("ymm_key", label)
+    return _named_base(ev.YMM)(spark, sf).withColumn("ymm_key", label)
 
 
 def _mad(grain: ev.Grain) -> Query:
@@ -216,7 +228,7 @@ def _study(spark: SparkSession, sf: str, grain: ev.Grain, start: date, end: date
 
 
 def _compare(grain: ev.Grain, start: date) -> Query:
-    return lambda spark, sf: _study(spark, sf, grain, start, AS_OF).comparison
+    return lambda spark, sf: ev.compare_methods(staged_inputs(spark, sf), grain, start, AS_OF)
 
 
 def _mae_common(grain: ev.Grain) -> Query:
@@ -252,7 +264,9 @@ def _mae_by_window(grain: ev.Grain) -> Query:
 
 
 def _report(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf: build(_study(spark, sf, ev.STYLE, STUDY_START, AS_OF).comparison)
+    return lambda spark, sf: build(
+        ev.compare_methods(staged_inputs(spark, sf), ev.STYLE, STUDY_START, AS_OF)
+    )
 
 
 def _key_check(spark: SparkSession, sf: str) -> DataFrame:
@@ -260,7 +274,7 @@ def _key_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _freshness(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.freshness(staged_inputs(spark, sf).hist)
+    return checks.freshness(derived_inputs(spark, sf).hist)
 
 
 def _reconcile(spark: SparkSession, sf: str) -> DataFrame:
@@ -326,7 +340,7 @@ def all_queries() -> dict[str, Query]:
         for t in MIN_NS:
             found[f"out_{name}_{t}"] = _rule(name, t)
     found |= {
-        "base_stats_style": _base(ev.STYLE),
+        "base_stats_style": _named_base(ev.STYLE),
         "base_stats_ymm": _labelled_ymm,
         "mad_style": _mad(ev.STYLE),
         "mad_ymm": _mad(ev.YMM),
