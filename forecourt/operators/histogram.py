@@ -37,16 +37,23 @@ def bucket() -> Column:
     return F.expr(f"x div {CHUNK}")
 
 
-def value_histogram(rows: DataFrame, keys: Sequence[str], copies: str | None = None) -> DataFrame:
-    """Count rows (or sum `copies`) per keys and value `x`.
+def value_histogram(
+    rows: DataFrame,
+    group: Sequence[str],
+    others: Sequence[str] = (),
+    copies: str | None = None,
+) -> DataFrame:
+    """Count rows (or sum `copies`) per group, other columns and value `x`.
 
-    Everything but the count is a grouping column, so all later uses of one
-    histogram need the same shuffle and Spark runs it once.
+    Rows without a group or value drop out. A histogram is read once to locate
+    its buckets and once to rank its values: stage it where it is costly to make.
     """
     counted = F.sum(copies) if copies else F.count(F.lit(1))
+    known = " and ".join(f"{c} is not null" for c in [*group, "bucket"])
     return (
         rows.withColumn("bucket", bucket())
-        .groupBy(*keys, "bucket", "x")
+        .filter(known)
+        .groupBy(*group, *others, "bucket", "x")
         .agg(counted.alias("n"))
     )
 

@@ -52,7 +52,7 @@ def metric_histogram(
 ) -> DataFrame:
     """Value histogram per keys, measure, sold state and moved-on flag."""
     rows = measured_rows(facts, keys, measures, as_of, days)
-    return value_histogram(rows, [*keys, "measure", "sold", "moved"])
+    return value_histogram(rows, [*keys, "measure", "sold"], ["moved"])
 
 
 def by_dimension(facts: DataFrame, dimensions: Sequence[str]) -> DataFrame:

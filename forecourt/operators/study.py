@@ -27,7 +27,7 @@ def price_histogram(
 ) -> DataFrame:
     """Price histogram per key; `carry` columns describe the key, such as its make."""
     return value_histogram(
-        rows.select(*key, *carry, *X.named({"x": X.hundredths("price")})), [*key, *carry]
+        rows.select(*key, *carry, *X.named({"x": X.hundredths("price")})), key, carry
     )
 
 

@@ -24,7 +24,6 @@ from forecourt.operators.metrics import (
     measured_rows,
     metric_histogram,
     metric_summary,
-    metric_table,
 )
 from forecourt.staging import stage
 from forecourt.sources.schemas import Inputs
@@ -73,7 +72,7 @@ def market_histogram(
     located = facts.select(*others, F.inline(targets))
     rows = measured_rows(located, ["dim", "zip", "style"], measures, as_of, days)
     keys = ["dim", "zip", "style", "measure", "sold", "moved"]
-    own = value_histogram(rows, keys)
+    own = value_histogram(rows, ["zip"], [k for k in keys if k != "zip"])
     spread = expand_counts(own, market_pairs(zipdist, facts, max_miles), [*keys, "bucket", "x"])
     key = F.when(F.col("dim") == "zip", F.col("zip")).otherwise(
         X.pair_key(F.col("zip"), F.col("style"))
@@ -87,11 +86,12 @@ def dimension_table(
     """Metric table of one measure by one dimension."""
     facts = daily_facts(inputs, as_of, max(days + 1, 121))
     if dimension not in MARKET_DIMENSIONS:
-        return metric_table(facts, dimension, measure, as_of, days)
+        hist = metric_histogram(facts, [dimension], [measure], as_of, days)
+        return metric_summary(stage(hist, "values"), [dimension], days).drop("measure")
     hist = market_histogram(
         stage_market_columns(facts), inputs.zipdist, [dimension], [measure], as_of, days
     )
-    summary = metric_summary(hist, ["dim", "key"], days)
+    summary = metric_summary(stage(hist, "values"), ["dim", "key"], days)
     return summary.drop("dim", "measure").withColumnRenamed("key", dimension)
 
 
@@ -134,7 +134,7 @@ def matrix_of(
     hist = parts[0]
     for part in parts[1:]:
         hist = hist.unionByName(part)
-    return metric_summary(hist, ["dim", "key"], days)
+    return metric_summary(stage(hist, "values"), ["dim", "key"], days)
 
 
 def wide_daily(inputs: Inputs, as_of: date | str) -> DataFrame:

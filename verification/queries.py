@@ -150,7 +150,7 @@ def _log2s_trim(spark: SparkSession, sf: str) -> DataFrame:
 
 def _aggregated(key: str, measure: str, columns: dict[str, str]) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        hist = _histogram(staged_inputs(spark, sf), key, measure)
+        hist = stage(_histogram(staged_inputs(spark, sf), key, measure), "values")
         return metrics.metric_rows(hist, [key]).groupBy(key).agg(*X.named(columns))
 
     return run
@@ -196,7 +196,7 @@ def _prices(spark: SparkSession, sf: str, grain: ev.Grain) -> DataFrame:
 
 
 def _base(grain: ev.Grain) -> Query:
-    return lambda spark, sf: base_stats(_prices(spark, sf, grain), grain.key)
+    return lambda spark, sf: base_stats(stage(_prices(spark, sf, grain), "prices"), grain.key)
 
 
 def _named_base(grain: ev.Grain) -> Query:
