@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from forecourt.functions import expressions as X
 
-CHUNK = 1 << 22
+# About as many values as an ordinary task handles anyway.
+CHUNK = 1 << 20
 
 # Statistics of a whole group, as `locate` gives them.
 GROUP_STATS = ("n_group", "low", "high", "mean", "std", "mean_log", "std_log")
