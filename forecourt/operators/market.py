@@ -16,9 +16,13 @@ NATIONWIDE = "nationwide"
 
 
 def market_pairs(zipdist: DataFrame, centres: DataFrame, max_miles: float) -> DataFrame:
-    """Pairs within the band whose first zip is one of the centres."""
+    """Pairs within the band whose first zip is one of the centres.
+
+    Centres are made distinct first: a zip may hold a large part of all cars, and
+    a semi join alone would send all of them to one task.
+    """
     near = zipdist.filter(F.col("distance") <= max_miles)
-    wanted = centres.select(F.col("zip").alias("zip1"))
+    wanted = centres.select(F.col("zip").alias("zip1")).distinct()
     return near.join(wanted, "zip1", "left_semi")
 
 
