@@ -104,7 +104,7 @@ SOLD_STATE = "case when sold_flg then 1 when not sold_flg then 0 else -1 end"
 def measured(keys: dict[str, str], measure: str, source: str, days: int) -> str:
     """Select of key columns, sold state, moved flag and value."""
     named = ", ".join(f"{sql} as {name}" for name, sql in keys.items())
-    near = f" and distance <= 100" if source == "markets" else ""
+    near = " and distance <= 100" if source == "markets" else ""
     return f"""
   select {named}, {SOLD_STATE} as sold, cast({measure} as decimal(12,2)) as x,
     case when vin_frst_dt > {TODAY} - {days} then 1 else 0 end as moved
@@ -328,7 +328,8 @@ def rule_columns(name: str, t: int) -> dict[str, str]:
     inside = f"filter (where {kept(name, t)})"
     outside = f"count(*) filter (where not {kept(name, t)})"
     return {
-        f"avg_price_{name}_{t}": f"cast(round(cast(sum(price) {inside} as double) / nullif(count(*) {inside}, 0)) as bigint)",
+        f"avg_price_{name}_{t}": f"cast(round(cast(sum(price) {inside} as double)"
+        f" / nullif(count(*) {inside}, 0)) as bigint)",
         f"outlier_{name}_{t}": outside,
         f"outlier_{name}_pct_{t}": f"round(cast({outside} as double) / count(*), 6)",
     }
