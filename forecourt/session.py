@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from forecourt.staging import ensure_checkpoint_dir
+
 
 def local_session(name: str, cpus: int = 8, partitions: int | None = None) -> SparkSession:
     """A session on this machine, with as many shuffle partitions as cores.
@@ -11,7 +13,7 @@ def local_session(name: str, cpus: int = 8, partitions: int | None = None) -> Sp
     Shuffles of test data are small, so partitions may be small too before they
     are merged; otherwise most cores would idle.
     """
-    return (
+    session = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(name)
         .config("spark.driver.memory", "12g")
@@ -24,3 +26,5 @@ def local_session(name: str, cpus: int = 8, partitions: int | None = None) -> Sp
         .config("spark.log.level", "ERROR")
         .getOrCreate()
     )
+    ensure_checkpoint_dir(session)
+    return session

@@ -1,31 +1,35 @@
-"""Shared intermediates, written once to the folder all executors can reach."""
+"""Shared intermediates, written to the folder all executors can reach."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
-_local_folders: dict[str, str] = {}
+#: Where a local session without the setting checkpoints; see `ensure_checkpoint_dir`.
+LOCAL_DEFAULT = "/tmp/checkpoints/forecourt"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names in spark.checkpoint.dir.
+    """The folder the session names in spark.checkpoint.dir, or its context's checkpoint folder.
 
-    Only a local session without the setting gets a temporary folder of its own.
+    There is no other fallback: intermediates must lie where all executors see them.
     """
-    folder = spark.conf.get(SETTING, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError(f"set {SETTING} to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="forecourt-")
-    return _local_folders[app]
+    return folder.rstrip("/")
+
+
+def ensure_checkpoint_dir(spark: SparkSession, folder: str = LOCAL_DEFAULT) -> None:
+    """Give a local session without a checkpoint folder one; a cluster must name its own."""
+    if spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir():
+        return
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"set {SETTING} to a folder shared by all executors")
+    spark.sparkContext.setCheckpointDir(folder)
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -33,7 +37,10 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` and read it back: later steps neither recompute nor replan it."""
+    """Write `df` and read it back: later steps neither recompute nor replan it.
+
+    This runs a job.
+    """
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,8 +11,9 @@ import time
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from forecourt.session import local_session
 from verification.oracle import all_oracles
 from verification.queries import all_queries
 
@@ -61,15 +62,7 @@ def difference(df: DataFrame, db: duckdb.DuckDBPyConnection, sql: str) -> str |
 
 
 def main(sf_dir: str, prefixes: list[str]) -> int:
-    spark = (
-        SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "12g")
-        .getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark = local_session("compare")
     db, oracles, failed = connect(sf_dir), all_oracles(), 0
     for name, query in all_queries().items():
         if prefixes and not any(name.startswith(p) for p in prefixes):
