@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import sharding, stream_dedup
+from forecourt.llm import piece_codec, sharding, stream_dedup, token_counts
 from forecourt.llm.frames import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,10 +54,40 @@ def op2_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _tokenizer(name: str) -> str:
+    """Where the installed public vocabulary files lie."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_heap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    counted = token_counts.count_tokens(docs, _tokenizer("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of the text decoded from them."""
+    model = _tokenizer("piece_bpe_32k.model")
+    ids = piece_codec.encode(_table(spark, sf_dir, "documents"), model)
+    both = piece_codec.decode(ids, model)
+    spelled = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(spelled, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_interleave": op1_interleave,
         "op2_stream_dedup": op2_stream_dedup,
+        "op7_heap_counts": op7_heap_counts,
+        "op9_piece_codec": op9_piece_codec,
     }
 
 
