@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import piece_codec, sharding, stream_dedup, token_counts
+from forecourt.llm import piece_codec, sharding, simhash, stream_dedup, token_counts
 from forecourt.llm.frames import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,16 @@ def op2_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the group it belongs to."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return found.select(
+        F.col("key").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 def _tokenizer(name: str) -> str:
     """Where the installed public vocabulary files lie."""
     import public_tokenizers
@@ -86,6 +96,7 @@ def all_queries() -> dict[str, Query]:
     return {
         "op1_interleave": op1_interleave,
         "op2_stream_dedup": op2_stream_dedup,
+        "op3_simhash": op3_simhash,
         "op7_heap_counts": op7_heap_counts,
         "op9_piece_codec": op9_piece_codec,
     }
