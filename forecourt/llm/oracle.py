@@ -52,7 +52,29 @@ select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_siz
 from docs window same as (partition by body)
 """
 
+# Base32 takes 5 bits at a time; a SHA-1 sum of 40 hexadecimal digits has 32 of them.
+_OP8 = """
+with rows as (
+  select page_id, coalesce(html, '') as body, strlen(coalesce(html, '')) as n,
+    max(page_id) over (partition by coalesce(html, '')) as keep
+  from pages
+), hashed as (
+  select *, array_to_string(list_transform(string_split(sha1(body), ''), lambda c:
+    right('000' || (('0x' || c)::int)::bit::varchar, 4)), '') as bits
+  from rows
+)
+select page_id, n as payload_bytes,
+  array_to_string(list_transform(range(32), lambda i:
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(
+      list_reduce(list_transform(string_split(substr(bits, (5 * i + 1)::bigint, 5), ''),
+        lambda b: b::int), lambda a, b: 2 * a + b)) + 1]), '') as payload_digest,
+  case when page_id = keep then 'response' else 'revisit' end as record_type,
+  case when page_id < keep then keep end as refers_to
+from hashed
+"""
+
 ORACLES = {
     "op1_interleave": _OP1,
     "op2_stream_dedup": _OP2,
+    "op8_dictionary_warc": _OP8,
 }

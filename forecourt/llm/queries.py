@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import piece_codec, sharding, simhash, stream_dedup, token_counts
+from forecourt.llm import piece_codec, sharding, simhash, stream_dedup, token_counts, warc
 from forecourt.llm.frames import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,18 @@ def op7_heap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op8_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back from them."""
+    found = warc.read_archives(warc.write_archives(_table(spark, sf_dir, "pages")))
+    return found.select(
+        F.col("key").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text decoded from them."""
     model = _tokenizer("piece_bpe_32k.model")
@@ -98,6 +110,7 @@ def all_queries() -> dict[str, Query]:
         "op2_stream_dedup": op2_stream_dedup,
         "op3_simhash": op3_simhash,
         "op7_heap_counts": op7_heap_counts,
+        "op8_dictionary_warc": op8_dictionary_warc,
         "op9_piece_codec": op9_piece_codec,
     }
 

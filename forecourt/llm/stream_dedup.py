@@ -17,11 +17,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.llm.frames import ascii_lower, column, text_or_empty
-from forecourt.staging import new_path
+from forecourt.staging import new_path, stage
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
+#: Many small stores: RocksDB must not reserve 4 MB of disk for each one's manifest.
+STATE_CONF = {
+    PROVIDER: ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
+
+#: Digests with hits are broadcast up to this number (some 50 MB), else shuffled.
+BROADCAST_HITS = 400_000
+
 
 def normalised(df: DataFrame, text: str) -> Column:
     """The text two rows must share: A-Z lower-cased, null as empty."""
@@ -63,8 +72,9 @@ def fold(spark: SparkSession, path: str, key: str, text: str, digest, batch_byte
     """
     schema = spark.read.parquet(path).schema
     checkpoint = new_path(spark, "dedup-state")
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_CONF}
+    for k, v in STATE_CONF.items():
+        spark.conf.set(k, v)
     try:
         stream = (
             spark.readStream.schema(schema)
@@ -83,7 +93,8 @@ def fold(spark: SparkSession, path: str, key: str, text: str, digest, batch_byte
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return checkpoint
 
 
@@ -116,18 +127,22 @@ def dedup(
     if spark.read.parquet(path).isEmpty():
         empty = located(spark.read.parquet(path), key, text, digest)
         return empty.withColumns({"keep": F.col("row"), "n": F.lit(1).cast("long")})
-    seen = state(spark, fold(spark, path, key, text, digest, batch_bytes))
+    seen = stage(
+        state(spark, fold(spark, path, key, text, digest, batch_bytes)), "dedup-seen"
+    )
     rows = located(spark.read.parquet(path), key, text, digest)
-    hits = seen.filter("n > 1")
+    hits = seen.filter("n > 1").select("digest")
+    if hits.count() <= BROADCAST_HITS:
+        hits = F.broadcast(hits)  # else whole texts of rows without hits are shuffled as well
 
     texts = located(spark.read.parquet(path), key, text, digest, full=True)
     classes = (
-        texts.join(hits.select("digest"), "digest", "left_semi")
+        texts.join(hits, "digest", "left_semi")
         .groupBy("digest", "full")
         .agg(F.count(F.lit(1)).alias("n"), F.max("row").alias("keep"))
     )
     clashes = classes.groupBy("digest").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    clashing = clashes.select("digest")
+    clashing = stage(clashes.select("digest"), "dedup-clashes")
     joined = rows.join(seen, "digest")
     if clashing.isEmpty():
         return joined
