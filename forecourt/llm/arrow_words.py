@@ -42,6 +42,16 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
+def joined(ids: list[bytes], words: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
+    """Each text's ids: those of its words one after the other, given as bytes of 32-bit ids."""
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    values = pa.array(np.frombuffer(b"".join(ids), np.int32))
+    taken = pa.ListArray.from_arrays(pa.array(starts), values).take(pa.array(words))
+    at = taken.offsets.to_numpy() if len(taken) else np.zeros(1, np.int32)
+    return pa.ListArray.from_arrays(pa.array(at[offsets]), taken.flatten())
+
+
 class Recent:
     """A bounded cache: two generations of at most `size` answers, the older one dropped in turn.
 

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.arrow_words import Recent, encoded, slices
+from forecourt.llm.arrow_words import Recent, encoded, joined, slices
 from forecourt.llm.frames import column, text_or_empty
 from forecourt.llm.piece_bpe import MARK, PieceModel, segments
 
@@ -37,7 +37,7 @@ class Codec:
         self.pieces = pa.array(model.bytes_of, pa.binary())
         self.spaced = np.array([b[:1] == b" " for b in model.bytes_of] + [False])
 
-    def _encode_new(self, words: list[str]) -> list[np.ndarray]:
+    def _encode_new(self, words: list[str]) -> list[bytes]:
         if not words:
             return []
         cut = [self.model.parts(MARK + w.replace(" ", MARK)) for w in words]
@@ -52,20 +52,16 @@ class Codec:
         own = self.decode(pa.array(ours, pa.list_(pa.int32()))).to_pylist()
         if own != self.model.library.decode(ours, num_threads=1):
             raise RuntimeError("decoded texts differ from those of the sentencepiece library")
-        return [np.array(x, np.int32) for x in found]
+        return [np.array(x, np.int32).tobytes() for x in found]
 
     def encode(self, texts: pa.Array, end: bool) -> pa.ListArray:
         """Ids of each text, with the end id if `end`; no nulls in `texts`."""
         offsets, words, distinct = encoded(segments(texts))
-        ids = [*self.words.answers(distinct), np.array([self.model.end_id], np.int32)]
+        ids = [*self.words.answers(distinct), np.array([self.model.end_id], np.int32).tobytes()]
         if end:
             words = np.insert(words, offsets[1:], len(distinct))
             offsets = offsets + np.arange(len(offsets))
-        starts = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-        table = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(ids)))
-        taken = table.take(pa.array(words))
-        at = taken.offsets.to_numpy() if len(taken) else np.zeros(1, np.int32)
-        return pa.ListArray.from_arrays(pa.array(at[offsets]), taken.flatten())
+        return joined(ids, words, offsets)
 
     def decode(self, lists: pa.ListArray) -> pa.Array:
         """The text of each list of ids, as the library's decode gives it; no nulls."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import piece_codec, sharding, simhash, stream_dedup, token_counts, warc
+from forecourt.llm import packing, piece_codec, sharding, simhash, stream_dedup, token_counts, warc
 from forecourt.llm.frames import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,13 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' pieces in sequences of at most 4096 ids."""
+    vocabulary = _tokenizer("word_bpe_49k.json")
+    pieces = packing.tokenized_pieces(_table(spark, sf_dir, "documents"), vocabulary)
+    return packing.pack(pieces).withColumnRenamed("key", "doc_id")
+
+
 def op7_heap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -109,6 +116,7 @@ def all_queries() -> dict[str, Query]:
         "op1_interleave": op1_interleave,
         "op2_stream_dedup": op2_stream_dedup,
         "op3_simhash": op3_simhash,
+        "op5_histogram_packing": op5_histogram_packing,
         "op7_heap_counts": op7_heap_counts,
         "op8_dictionary_warc": op8_dictionary_warc,
         "op9_piece_codec": op9_piece_codec,
