@@ -99,10 +99,16 @@ _register()
 
 
 def encode(
-    df: DataFrame, model_path: str, key: str = "doc_id", text: str = "text", end: bool = True
+    df: DataFrame,
+    model_path: str,
+    key: str = "doc_id",
+    text: str = "text",
+    end: bool = True,
+    decoded: bool = False,
 ) -> DataFrame:
     """key and `ids` (array of int) of each row's whole text, exactly as the library's.
 
+    `decoded` adds the text that `decode` gives for these ids, made by the same worker.
     A null text counts as empty and has the end id only. Repeated rows and null keys stay.
     """
     with open(model_path, "rb") as file:
@@ -112,15 +118,16 @@ def encode(
         codec = _codec(proto.value)
         for batch in batches:
             for part in slices(batch, "text"):
-                yield pa.record_batch(
-                    {"key": part["key"], "ids": codec.encode(part["text"], end)}
-                )
+                found = {"key": part["key"], "ids": codec.encode(part["text"], end)}
+                if decoded:
+                    found["decoded"] = codec.decode(found["ids"])
+                yield pa.record_batch(found)
 
     slim = df.select(column(df, key).alias("key"), text_or_empty(df, text).alias("text"))
     kind = slim.schema["key"].dataType.simpleString()
-    return slim.mapInArrow(run, f"key {kind}, ids array<int>").select(
-        F.col("key").alias(key), "ids"
-    )
+    more = ["decoded"] * decoded
+    schema = f"key {kind}, ids array<int>" + ", decoded string" * decoded
+    return slim.mapInArrow(run, schema).select(F.col("key").alias(key), "ids", *more)
 
 
 def decode(df: DataFrame, model_path: str, ids: str = "ids", output: str = "decoded") -> DataFrame:

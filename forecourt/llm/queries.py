@@ -100,8 +100,7 @@ def op8_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text decoded from them."""
     model = _tokenizer("piece_bpe_32k.model")
-    ids = piece_codec.encode(_table(spark, sf_dir, "documents"), model)
-    both = piece_codec.decode(ids, model)
+    both = piece_codec.encode(_table(spark, sf_dir, "documents"), model, decoded=True)
     spelled = F.array_join(F.col("ids").cast("array<string>"), " ")
     return both.select(
         "doc_id",
