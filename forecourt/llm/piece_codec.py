@@ -49,8 +49,10 @@ class Codec:
         ours = [x for x, w in zip(found, words, strict=True) if w]
         if ours != self.model.library.encode(texts, num_threads=1):
             raise RuntimeError("ids differ from those of the sentencepiece library")
-        own = self.decode(pa.array(ours, pa.list_(pa.int32()))).to_pylist()
-        if own != self.model.library.decode(ours, num_threads=1):
+        row = [i for x in ours for i in x]
+        if self.decode(pa.array([row], pa.list_(pa.int32())))[0].as_py() != (
+            self.model.library.decode(row)
+        ):
             raise RuntimeError("decoded texts differ from those of the sentencepiece library")
         return [np.array(x, np.int32).tobytes() for x in found]
 

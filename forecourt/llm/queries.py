@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import packing, piece_codec, sharding, simhash, stream_dedup, token_counts, warc
+from forecourt.llm import langid, packing, piece_codec, sharding, simhash, stream_dedup, token_counts, warc
 from forecourt.llm.frames import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,23 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
+    predict = langid.predictor(spark, model)
+    text = F.col("text").cast("string")
+    found = docs.select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), predict(text).alias("p")
+    )
+    return found.select(
+        "doc_id",
+        "held_out",
+        F.col("p.lang").alias("lang_pred"),
+        F.col("p.score").alias("score"),
+    )
+
+
 def op5_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' pieces in sequences of at most 4096 ids."""
     vocabulary = _tokenizer("word_bpe_49k.json")
@@ -115,6 +132,7 @@ def all_queries() -> dict[str, Query]:
         "op1_interleave": op1_interleave,
         "op2_stream_dedup": op2_stream_dedup,
         "op3_simhash": op3_simhash,
+        "op4_cross_parsing": op4_cross_parsing,
         "op5_histogram_packing": op5_histogram_packing,
         "op7_heap_counts": op7_heap_counts,
         "op8_dictionary_warc": op8_dictionary_warc,
