@@ -52,6 +52,23 @@ select doc_id, max(doc_id) over same as keep_id, count(*) over same as group_siz
 from docs window same as (partition by body)
 """
 
+_OP6 = """
+with vectors as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id,
+    list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
+  from vectors q, vectors c where q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank
+  from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 20
+"""
+
 # Base32 takes 5 bits at a time; a SHA-1 sum of 40 hexadecimal digits has 32 of them.
 _OP8 = """
 with rows as (
@@ -76,5 +93,6 @@ from hashed
 ORACLES = {
     "op1_interleave": _OP1,
     "op2_stream_dedup": _OP2,
+    "op6_bit_sliced": _OP6,
     "op8_dictionary_warc": _OP8,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import langid, packing, piece_codec, sharding, simhash, stream_dedup, token_counts, warc
+from forecourt.llm import bitslice, langid, packing, piece_codec, sharding, simhash, stream_dedup, token_counts, warc
 from forecourt.llm.frames import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,15 @@ def op5_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).withColumnRenamed("key", "doc_id")
 
 
+def op6_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors of every vector whose id is divisible by 20."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    found = bitslice.nearest(vectors, F.col("key") % 20 == 0, k=20)
+    return found.select(
+        F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "score"
+    )
+
+
 def op7_heap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -134,6 +143,7 @@ def all_queries() -> dict[str, Query]:
         "op3_simhash": op3_simhash,
         "op4_cross_parsing": op4_cross_parsing,
         "op5_histogram_packing": op5_histogram_packing,
+        "op6_bit_sliced": op6_bit_sliced,
         "op7_heap_counts": op7_heap_counts,
         "op8_dictionary_warc": op8_dictionary_warc,
         "op9_piece_codec": op9_piece_codec,
