@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import bitslice, langid, packing, piece_codec, sharding, simhash, stream_dedup, token_counts, warc
+from forecourt.llm import bitslice, langid, packing, piece_codec, sharding, simhash, stream_dedup, token_counts, toxicity, warc
 from forecourt.llm.frames import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,7 +64,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer_path(name: str) -> str:
     """Where the installed public vocabulary files lie."""
     import public_tokenizers
 
@@ -90,7 +90,7 @@ def op4_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' pieces in sequences of at most 4096 ids."""
-    vocabulary = _tokenizer("word_bpe_49k.json")
+    vocabulary = tokenizer_path("word_bpe_49k.json")
     pieces = packing.tokenized_pieces(_table(spark, sf_dir, "documents"), vocabulary)
     return packing.pack(pieces).withColumnRenamed("key", "doc_id")
 
@@ -107,7 +107,7 @@ def op6_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_heap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     docs = _table(spark, sf_dir, "documents")
-    counted = token_counts.count_tokens(docs, _tokenizer("piece_bpe_32k.model"))
+    counted = token_counts.count_tokens(docs, tokenizer_path("piece_bpe_32k.model"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
@@ -125,7 +125,7 @@ def op8_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text decoded from them."""
-    model = _tokenizer("piece_bpe_32k.model")
+    model = tokenizer_path("piece_bpe_32k.model")
     both = piece_codec.encode(_table(spark, sf_dir, "documents"), model, decoded=True)
     spelled = F.array_join(F.col("ids").cast("array<string>"), " ")
     return both.select(
@@ -136,6 +136,22 @@ def op9_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, learned from labelled ones that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    labelled = toxicity.graded(_table(spark, sf_dir, "labels"))
+    model = toxicity.fit(labelled.filter(~langid.held_out(F.col("key"))), docs)
+    predict = toxicity.predictor(spark, model)
+    found = docs.select("doc_id", predict(F.col("text").cast("string")).alias("p"))
+    return found.select(
+        "doc_id",
+        F.col("p.severity").alias("severity"),
+        F.col("p.chance").alias("toxic_chance"),
+        F.col("p.grade").alias("grade"),
+        (F.col("p.grade") > 0).alias("toxic"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_interleave": op1_interleave,
@@ -147,6 +163,7 @@ def all_queries() -> dict[str, Query]:
         "op7_heap_counts": op7_heap_counts,
         "op8_dictionary_warc": op8_dictionary_warc,
         "op9_piece_codec": op9_piece_codec,
+        "op10_ordinal_toxicity": op10_ordinal_toxicity,
     }
 
 
