@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,16 @@ def ensure_checkpoint_dir(spark: SparkSession, folder: str = LOCAL_DEFAULT) -> N
     spark.sparkContext.setCheckpointDir(folder)
 
 
+def ready(spark: SparkSession) -> None:
+    """Give the session a checkpoint folder, and its Python workers the way to this library."""
+    ensure_checkpoint_dir(spark)
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        environment["PYTHONPATH"] = ":".join(filter(None, [root, *paths]))
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/forecourt/{label}-{uuid.uuid4().hex}"
 
