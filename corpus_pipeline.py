@@ -7,13 +7,17 @@ returns the columns it got; the last returns packed pieces. Rows are told apart
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.llm import langid, packing, simhash, stream_dedup, toxicity
 from forecourt.llm.frames import column, free_name
 from forecourt.llm.queries import tokenizer_path
-from forecourt.staging import stage
+from forecourt.staging import ready, stage
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 SHINGLE = 3
 RADIUS = 2
@@ -99,12 +103,22 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(pieces).withColumnRenamed("key", "doc_id")
 
 
+def _ready(step: Stage) -> Stage:
+    """The stage, on a session that has a checkpoint folder and workers that find the library."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ready(spark)
+        return step(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("toxicity", toxicity_stage),
-    ("language", language_stage),
-    ("exact_dedup", exact_stage),
-    ("near_dedup", near_stage),
-    ("packing", packing_stage),
+    ("toxicity", _ready(toxicity_stage)),
+    ("language", _ready(language_stage)),
+    ("exact_dedup", _ready(exact_stage)),
+    ("near_dedup", _ready(near_stage)),
+    ("packing", _ready(packing_stage)),
 ]
 
 #: SQL expresses none of the learned stages, nor the fingerprints.
