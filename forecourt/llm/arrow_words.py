@@ -18,9 +18,11 @@ SLICE_BYTES = 4 << 20
 
 def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Runs of rows with about `size` bytes of text each; one longer text makes a run of its own."""
+    if not batch.num_rows:
+        return
     lengths = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
     run = (np.cumsum(lengths, dtype=np.int64) - lengths) // size
-    starts = np.flatnonzero(np.diff(run, prepend=-1)) if len(run) else np.array([], np.int64)
+    starts = np.flatnonzero(np.diff(run, prepend=-1))
     for start, end in zip(starts, [*starts[1:], batch.num_rows], strict=True):
         yield batch.slice(int(start), int(end - start))
 

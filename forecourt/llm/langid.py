@@ -26,6 +26,7 @@ from forecourt.llm.frames import column
 UNKNOWN = "und"
 SAMPLE_CHARS = 60_000  # of labelled text per language
 SAMPLE_TEXT_CHARS = 6_000  # longer texts are not learned from
+MIN_CHARS = 500
 MAX_LANGUAGES = 200
 
 
@@ -126,11 +127,11 @@ def fit(
         column(df, text).cast("string").alias("text"),
     )
     order = Window.partitionBy("language").orderBy("h", "key")
-    # At least 100 characters count per row, so that a language has a bounded number of rows.
-    most = sample_chars // 100
+    # A row counts as MIN_CHARS at least, so that a language has a bounded number of rows.
+    most = max(1, sample_chars // MIN_CHARS)
     chosen = (
         rows.filter(F.col("language").isNotNull() & F.col("key").isNotNull())
-        .withColumn("n", F.greatest(F.length("text"), F.lit(100)))
+        .withColumn("n", F.greatest(F.length("text"), F.lit(MIN_CHARS)))
         .filter(F.col("n") <= SAMPLE_TEXT_CHARS)
         .select("key", "language", "n", F.md5(F.col("key").cast("string")).alias("h"))
         .withColumn("rank", F.row_number().over(order))

@@ -46,6 +46,7 @@ class PieceModel:
         self.id: dict[str, int] = {}
         self.byte_id = [0] * 256
         self.bytes_of: list[bytes] = []
+        self.marked: list[bool] = []
         for i, piece in enumerate(spec.pieces):
             text = b""
             if piece.type == kinds.BYTE:
@@ -60,6 +61,7 @@ class PieceModel:
             elif piece.type != kinds.CONTROL:
                 raise ValueError(f"pieces of type {piece.type} are not supported")
             self.bytes_of.append(text)
+            self.marked.append(piece.type == kinds.NORMAL and piece.piece[0] == MARK)
         self.end_id = trainer.eos_id
         self.linked = {p[i : i + 2] for p in self.rank for i in range(len(p) - 1)}
         self.words_end_at_spaces = not any(
@@ -134,14 +136,15 @@ def segments(texts: pa.Array) -> pa.ListArray:
     """Each text's words by single spaces, without their mark; no nulls in `texts`.
 
     Spaces that do not stand alone between words stay with the word that follows
-    (or at the end), so that a mark in front of every segment gives the marked text. An empty text
-    has no segment.
+    (or at the end), so that a mark in front of every segment gives the marked text. A mark that
+    the text itself has is a space. An empty text has no segment.
     """
     lists = pc.split_pattern(texts, " ")
     odd = pc.or_(
         pc.or_(pc.match_substring(texts, "  "), pc.starts_with(texts, " ")),
         pc.or_(pc.ends_with(texts, " "), pc.equal(texts, "")),
     )
+    odd = pc.or_(odd, pc.match_substring(texts, MARK))
     if not pc.any(odd).as_py():
         return lists
     rows = np.flatnonzero(odd.to_numpy(zero_copy_only=False))

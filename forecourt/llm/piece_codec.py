@@ -35,7 +35,7 @@ class Codec:
         self.parts = Recent(lambda new: [model.ids(p) for p in new])
         self.words = Recent(self._encode_new)
         self.pieces = pa.array(model.bytes_of, pa.binary())
-        self.spaced = np.array([b[:1] == b" " for b in model.bytes_of] + [False])
+        self.spaced = np.array([*model.marked, False])
 
     def _encode_new(self, words: list[str]) -> list[bytes]:
         if not words:

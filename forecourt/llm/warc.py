@@ -93,7 +93,7 @@ class Archive:
         self.uri = f"{folder}/{uuid.uuid4().hex}.warc.zst"
         store, path = open_store(self.uri)
         store.create_dir(path.rpartition("/")[0], recursive=True)
-        self.file = store.open_output_stream(path)
+        self.file = store.open_output_stream(path, compression=None)
         self.level, self.waiting, self.held = level, [], 0
         self.compressor = None
         self.records = self.raw = self.size = 0
@@ -294,7 +294,7 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
             for uri in batch["archive"].to_pylist():
                 store, path = open_store(uri)
                 rows, size = [], 0
-                with store.open_input_stream(path) as file:
+                with store.open_input_stream(path, compression=None) as file:
                     for fields, block in records(file):
                         row = _parsed(fields, block)
                         if payloads:
