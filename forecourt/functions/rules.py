@@ -34,8 +34,10 @@ LOG_NARROW = 2
 GROUPS = 100
 
 # Bounds give by this much, so that values exactly on a bound are inside whatever
-# the last bits of the bound are. Prices differ by a cent at least.
+# the last bits of the bound are. Prices differ by a cent at least; the logarithms of
+# prices up to 10,000,000,000 that differ by a cent differ by 1e-12 at least.
 SLACK = 1e-7
+LOG_SLACK = 1e-12
 
 # What the rules test: distance from the median, the price, and its logarithm.
 TESTED = {
@@ -45,9 +47,9 @@ TESTED = {
 }
 
 
-def between(value: str, low: str, high: str) -> str:
+def between(value: str, low: str, high: str, slack: float = SLACK) -> str:
     """SQL text: value within the bounds, with slack."""
-    return f"({value} between ({low}) - {SLACK}D and ({high}) + {SLACK}D)"
+    return f"({value} between ({low}) - {slack}D and ({high}) + {slack}D)"
 
 
 def small(min_n: int) -> str:
@@ -72,7 +74,8 @@ class IntervalRule:
 
     @property
     def inside(self) -> str:
-        return f"if({between(self.tested, self.low, self.high)}, n, 0L)"
+        slack = LOG_SLACK if self.tested == "log_price" else SLACK
+        return f"if({between(self.tested, self.low, self.high, slack)}, n, 0L)"
 
 
 @dataclass(frozen=True)

@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 
 
 def key_check(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows and distinct keys; equal when the key is unique."""
+    """Rows and distinct keys without NULLs; equal when the key is unique and always there."""
+    whole = F.lit(True)
+    for name in key:
+        whole = whole & F.col(name).isNotNull()
     return (
         df.groupBy(*key)
         .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_keys"))
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_rows"),
+            F.count_if(whole).alias("n_keys"),
+        )
     )
 
 

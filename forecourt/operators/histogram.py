@@ -43,14 +43,16 @@ def value_histogram(
     group: Sequence[str],
     others: Sequence[str] = (),
     copies: str | None = None,
+    null_groups: bool = False,
 ) -> DataFrame:
     """Count rows (or sum `copies`) per group, other columns and value `x`.
 
-    Rows without a group or value drop out. A histogram is read once to locate
+    Rows without a value drop out, and without a group too unless `null_groups`. A histogram is read once to locate
     its buckets and once to rank its values: stage it where it is costly to make.
     """
     counted = F.sum(copies) if copies else F.count(F.lit(1))
-    known = " and ".join(f"{c} is not null" for c in [*group, "bucket"])
+    needed = ["bucket"] if null_groups else [*group, "bucket"]
+    known = " and ".join(f"{c} is not null" for c in needed)
     return (
         rows.withColumn("bucket", bucket())
         .filter(known)
@@ -63,7 +65,13 @@ def locate(hist: DataFrame, group: Sequence[str]) -> DataFrame:
     """One row per group and bucket, with the statistics of the whole group.
 
     `n_bucket` counts the rows of the bucket, `n_below` those in lower buckets.
+    Squared deviations are added up per bucket and merged with the distances of the buckets'
+    means, so that a tight group of large values keeps its digits. Those of `x` are exact per
+    bucket; those of logarithms are taken relative to the bucket's middle.
     """
+    middle_x = f"((bucket + 0.5D) * {CHUNK})"
+    off = f"(x - bucket * {CHUNK}L)"
+    log = f"log1p((x - {middle_x}) / {middle_x})"
     parts = hist.groupBy(*group, "bucket").agg(
         *X.named(
             {
@@ -71,12 +79,28 @@ def locate(hist: DataFrame, group: Sequence[str]) -> DataFrame:
                 "low": "min(x)",
                 "high": "max(x)",
                 "sum_x": X.total("x", "n"),
-                "sum_xx": "sum(n * pow(x / 100D, 2))",
-                "sum_log": "sum(n * ln(x / 100D))",
-                "sum_log2": "sum(n * pow(ln(x / 100D), 2))",
+                "sum_d": f"sum(n * {off})",
+                "sum_dd": f"sum(cast(n as decimal(19,0)) * cast({off} * {off} as decimal(19,0)))",
+                "sum_e": f"sum(n * {log})",
+                "sum_ee": f"sum(n * {log} * {log})",
             }
         )
     )
+    whole_number = "cast({} as decimal(19,0))"
+    n_dd = f"{whole_number.format('n_bucket')} * sum_dd"
+    d_d = f"{whole_number.format('sum_d')} * {whole_number.format('sum_d')}"
+    parts = parts.select(
+        *group,
+        *["bucket", "n_bucket", "low", "high", "sum_x"],
+        *X.named(
+            {
+                "part_mean": X.mean_of("sum_x", "n_bucket"),
+                "part_m2": f"double({n_dd} - {d_d}) / n_bucket / 10000D",
+                "part_log": f"ln({middle_x} / 100D) + sum_e / n_bucket",
+                "part_log_m2": "greatest(sum_ee - sum_e * sum_e / n_bucket, 0D)",
+            }
+        ),
+    )
     ordered = f"partition by {', '.join(group)} order by bucket rows between unbounded preceding"
     whole = f"over ({ordered} and unbounded following)"
     lower = f"over ({ordered} and 1 preceding)"
@@ -86,23 +110,31 @@ def locate(hist: DataFrame, group: Sequence[str]) -> DataFrame:
         "n_bucket": "n_bucket",
         "low": f"min(low) {whole}",
         "high": f"max(high) {whole}",
-        **{c: f"sum({c}) {whole}" for c in ("sum_x", "sum_xx", "sum_log", "sum_log2")},
+        "sum_x": f"sum(sum_x) {whole}",
+        "sum_log": f"sum(n_bucket * part_log) {whole}",
+    }
+    means = {"mean": X.mean_of("sum_x", "n_group"), "mean_log": "sum_log / n_group"}
+    spreads = {
+        "m2": f"sum(part_m2 + n_bucket * pow(part_mean - mean, 2)) {whole}",
+        "log_m2": f"sum(part_log_m2 + n_bucket * pow(part_log - mean_log, 2)) {whole}",
     }
     stats = {
-        "mean": X.mean_of("sum_x", "n_group"),
-        "std": _sample_std("sum_xx", "sum_x / 100D"),
-        "mean_log": "sum_log / n_group",
-        "std_log": _sample_std("sum_log2", "sum_log"),
+        "mean": "mean",
+        "std": _sample_std("m2"),
+        "mean_log": "mean_log",
+        "std_log": _sample_std("log_m2"),
     }
-    located = parts.select(*group, "bucket", *X.named(sums))
+    kept = ["part_mean", "part_m2", "part_log", "part_log_m2"]
+    located = parts.select(*group, "bucket", *kept, *X.named(sums))
+    located = located.select("*", *X.named(means)).select("*", *X.named(spreads))
     return located.select(
         *group, "bucket", "n_bucket", "n_below", "n_group", "low", "high", *X.named(stats)
     )
 
 
-def _sample_std(squares: str, total: str) -> str:
+def _sample_std(squares: str) -> str:
     """SQL text: NULL for one row, exactly 0 for equal rows."""
-    spread = f"sqrt(greatest({squares} - pow({total}, 2) / n_group, 0D) / (n_group - 1))"
+    spread = f"sqrt({squares} / (n_group - 1))"
     return f"case when n_group > 1 then if(low < high, {spread}, 0D) end"
 
 
@@ -142,7 +174,7 @@ def attach(
     rows of a hot key stay spread instead of meeting in one task.
     """
     buckets = rows.select(*keys, "bucket").distinct()
-    return rows.join(buckets.join(stats, list(keys), how), [*keys, "bucket"], "inner")
+    return rows.join(buckets.join(stats, list(keys), "inner"), [*keys, "bucket"], how)
 
 
 def median_of(condition: str = "true") -> str:

@@ -109,17 +109,20 @@ def study_rows(
     hist: DataFrame,
     dealers: DataFrame,
     vins: DataFrame,
-    start: date | str,
+    start: date | str | None,
     end: date | str,
     required: tuple[str, ...] = ("model_year", "style_id"),
 ) -> DataFrame:
-    """Priced latest listings last seen from `start` to `end`, both included.
+    """Priced latest listings last seen from `start` (if any) to `end`, both included.
 
     The dealer must exist but none of its columns is used, hence the semi join.
     """
+    seen = F.col("vin_last_dt") <= X.as_date(end)
+    if start is not None:
+        seen = seen & (F.col("vin_last_dt") >= X.as_date(start))
     priced = hist.filter(
         F.col("latest_record_flg")
-        & F.col("vin_last_dt").between(X.as_date(start), X.as_date(end))
+        & seen
         & (F.col("price") > 0)
     ).select("vin", "dealer_id", "vin_last_dt", "price")
     known = priced.join(dealers.select("dealer_id"), "dealer_id", "left_semi")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.functions import expressions as X
-from forecourt.functions.rules import between, small
+from forecourt.functions.rules import LOG_SLACK, between, small
 from forecourt.operators.histogram import locate, median_of, ranked, value_histogram
 
 SOLD, LISTED, UNKNOWN = 1, 0, -1
@@ -64,7 +64,8 @@ def by_dimension(facts: DataFrame, dimensions: Sequence[str]) -> DataFrame:
 
 def keep_log_sigma(k: float = TRIM_SIGMA, min_n: int = TRIM_MIN_N) -> str:
     """SQL text: the group is small, or ln(x) is within k deviations of the mean logarithm."""
-    near = between("ln(x / 100D)", f"mean_log - {k} * std_log", f"mean_log + {k} * std_log")
+    low, high = f"mean_log - {k} * std_log", f"mean_log + {k} * std_log"
+    near = between("ln(x / 100D)", low, high, LOG_SLACK)
     return f"({small(min_n)} or {near})"
 
 

@@ -23,12 +23,11 @@ from forecourt.operators.histogram import (
 
 
 def price_histogram(
-    rows: DataFrame, key: Sequence[str], carry: Sequence[str] = ()
+    rows: DataFrame, key: Sequence[str], carry: Sequence[str] = (), null_groups: bool = False
 ) -> DataFrame:
     """Price histogram per key; `carry` columns describe the key, such as its make."""
-    return value_histogram(
-        rows.select(*key, *carry, *X.named({"x": X.hundredths("price")})), key, carry
-    )
+    prices = rows.select(*key, *carry, *X.named({"x": X.hundredths("price")}))
+    return value_histogram(prices, key, carry, null_groups=null_groups)
 
 
 def base_stats(hist: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -187,19 +187,17 @@ def _wide_name(flag: str, scope: str) -> str:
 
 
 def publish(df: DataFrame, path: str, as_of: date | str) -> None:
-    """Replace one day's partition of a published table; other days stay."""
-    (
-        df.withColumn("as_of", X.as_date(as_of))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("as_of")
-        .parquet(path)
-    )
+    """Replace one day's folder of a published table, by nothing if `df` is empty; other days stay."""
+    df.write.mode("overwrite").parquet(f"{path}/as_of={_day(as_of)}")
+
+
+def _day(as_of: date | str) -> str:
+    return as_of if isinstance(as_of, str) else as_of.isoformat()
 
 
 def published(spark: SparkSession, path: str, as_of: date | str) -> DataFrame:
     """Read back one day of a published table."""
-    return spark.read.parquet(path).filter(F.col("as_of") == X.as_date(as_of)).drop("as_of")
+    return spark.read.parquet(f"{path}/as_of={_day(as_of)}")
 
 
 def ensure(spark: SparkSession, name: str, builder: Callable[[], DataFrame]) -> DataFrame:

@@ -160,13 +160,16 @@ def backtest(
     later = study_rows(
         inputs.hist, inputs.dealers, inputs.vins, score_start, score_end, grain.required
     )
-    return common_error_row(study, stage(price_histogram(later, grain.key), "scored-prices"))
+    return common_error_row(study, stage(price_histogram(later, grain.key, null_groups=True), "scored-prices"))
 
 
 def narrowest_window(
     last_seen: Column, as_of: date | str, windows: Mapping[str, int]
 ) -> Column:
-    """Label of the narrowest window a day falls in; ALL_DAYS outside all of them."""
+    """Label of the narrowest window a day falls in; ALL_DAYS outside all of them.
+
+    `windows` come narrowest first.
+    """
     age = F.datediff(X.as_date(as_of), last_seen)
     label = F.lit(None).cast("string")
     for name, days in windows.items():
@@ -183,11 +186,15 @@ def mae_by_window(
     """Common-filter errors per score window, one labelled row each.
 
     Windows are nested, so each listing is counted once, in its narrowest
-    window, and the sums of narrow windows are added to the wider ones.
+    window, and the sums of narrow windows are added to the wider ones. A window
+    without listings has a row with NULL errors. Windows may come in any order.
     """
+    windows = dict(sorted(windows.items(), key=lambda w: w[1]))
+    if len(set(windows.values())) < len(windows) or ALL_DAYS in windows:
+        raise ValueError("windows need different days, and names other than that of all days")
     labels = [*windows, ALL_DAYS]
     classed = rows.withColumn("window", narrowest_window(F.col("vin_last_dt"), as_of, windows))
-    hist = price_histogram(classed, [*study.grain.key, "window"])
+    hist = price_histogram(classed, [*study.grain.key, "window"], null_groups=True)
     sums = common_sums(scored(study, stage(hist, "window-prices")), ALL_RULES, ["window"])
     covering = F.create_map(
         *[
@@ -197,4 +204,6 @@ def mae_by_window(
         ]
     )
     stacked = sums.withColumn("dim", F.explode(covering[F.col("window")]))
-    return common_errors(add_sums(stacked, ALL_RULES, ["dim"]), ALL_RULES, ["dim"])
+    added = add_sums(stacked, ALL_RULES, ["dim"])
+    named = rows.sparkSession.createDataFrame([(label,) for label in labels], "dim string")
+    return common_errors(named.join(added, "dim", "left"), ALL_RULES, ["dim"])

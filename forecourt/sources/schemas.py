@@ -55,6 +55,10 @@ TABLES = {
 }
 
 
+# Columns that hold texts that are no numbers.
+LENIENT = ("mileage",)
+
+
 @dataclass(frozen=True)
 class Inputs:
     """The six input tables of every operator."""
@@ -70,7 +74,8 @@ class Inputs:
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Keep the declared columns, cast to the declared types.
 
-    Text that is no number, which the history can hold in `mileage`, becomes NULL.
+    Text that is no number, which the history can hold in `mileage`, becomes NULL there. In any
+    other column a value that does not fit the declared type raises.
     """
     missing = [f.name for f in schema if f.name not in df.columns]
     if missing:
@@ -81,6 +86,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             df[f.name]
             if found[f.name].dataType == f.dataType
             else df[f.name].try_cast(f.dataType).alias(f.name)
+            if f.name in LENIENT
+            else df[f.name].cast(f.dataType).alias(f.name)
             for f in schema
         ]
     )

@@ -13,27 +13,36 @@ from forecourt.functions.expressions import MONEY
 from forecourt.sources.schemas import HIST, Inputs
 from forecourt.staging import stage
 
-# Part types in alphabetical order (model ids 1 to 6), miles between
-# neighbouring nations, and how far apart nations are still listed as a pair.
-PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+# Miles between neighbouring nations, and how far apart nations are still
+# listed as a pair; the widest market reaches 250 miles.
 MILES_PER_STEP = 40
-STEPS = 24
+MAX_MILES = 1000
 
 
-_staged: dict[tuple[str, str], Inputs] = {}
+_staged: dict[tuple, Inputs] = {}
+
+
+def _stamps(spark: SparkSession, files: list[str]) -> list[tuple[str, str]]:
+    """Each file with the time it was written, from its store."""
+    if not files:
+        return []
+    rows = spark.read.format("binaryFile").load(files).select("path", "modificationTime")
+    return sorted((r[0], str(r[1])) for r in rows.collect())
 
 
 def staged_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     """The derived tables as files, written once per application and folder.
 
     Queries then start from tables like those of a warehouse, and their filters
-    reach the scan. The history holds the latest record of each car only.
+    reach the scan. The history holds all records of each car. A folder whose files have
+    changed meanwhile is derived again.
     """
-    at = (spark.sparkContext.applicationId, sf_dir)
+    files = sorted(_lineitem(spark, sf_dir).inputFiles())
+    at = (spark.sparkContext.applicationId, sf_dir, *_stamps(spark, files))
     if at not in _staged:
         derived = inputs(spark, sf_dir)
-        latest = _cars(_lineitem(spark, sf_dir)).filter("latest_record_flg")
-        cars = stage(latest.sortWithinPartitions("vin_last_dt"), "cars")
+        records = _cars(_lineitem(spark, sf_dir))
+        cars = stage(records.sortWithinPartitions("vin_last_dt"), "cars")
         part = spark.read.parquet(f"{sf_dir}/part.parquet")
         _staged[at] = Inputs(
             hist=cars.select(HIST.names),
@@ -101,14 +110,15 @@ def _dealers(supplier: DataFrame) -> DataFrame:
 
 def _vins(cars: DataFrame, part: DataFrame) -> DataFrame:
     latest = cars.filter("latest_record_flg").select("vin", "p_partkey")
-    styles = part.select(
+    models = _models(part).withColumnRenamed("model_name", "p_type")
+    styles = part.join(models, "p_type").select(
         "p_partkey",
         F.when(F.col("p_size") != 50, F.col("p_partkey")).alias("style_id"),
         F.when(F.col("p_size") == 49, "N/A")
         .otherwise((F.col("p_size") % 12 + 1992).cast("string"))
         .alias("model_year"),
         _make_id(),
-        _model_id(),
+        "model_id",
     )
     return latest.join(styles, "p_partkey", "inner").drop("p_partkey")
 
@@ -117,10 +127,6 @@ def _make_id() -> Column:
     return F.substring("p_brand", 7, 10).cast("bigint").alias("make_id")
 
 
-def _model_id() -> Column:
-    return F.array_position(F.lit(PART_TYPES), F.col("p_type")).cast("bigint").alias("model_id")
-
-
 def _divisions(part: DataFrame) -> DataFrame:
     return part.select(
         _make_id().alias("division_id"), F.col("p_brand").alias("division_name")
@@ -128,15 +134,19 @@ def _divisions(part: DataFrame) -> DataFrame:
 
 
 def _models(part: DataFrame) -> DataFrame:
-    return part.select(_model_id(), F.col("p_type").alias("model_name")).distinct()
+    """The distinct types, numbered in name order; there are few of them."""
+    types = part.select(F.col("p_type").alias("model_name")).distinct()
+    number = F.row_number().over(Window.orderBy("model_name")).cast("bigint")
+    return types.select(number.alias("model_id"), "model_name")
 
 
 def _zipdist(nation: DataFrame) -> DataFrame:
-    """Pairs of nations up to STEPS apart, the pair with itself included."""
+    """Pairs of nations up to MAX_MILES apart, the pair with itself included."""
+    steps = MAX_MILES // MILES_PER_STEP
     near = nation.select(
         F.col("n_nationkey").alias("key1"),
         F.explode(
-            F.sequence(F.col("n_nationkey") - STEPS, F.col("n_nationkey") + STEPS)
+            F.sequence(F.col("n_nationkey") - steps, F.col("n_nationkey") + steps)
         ).alias("key2"),
     )
     other = nation.select(F.col("n_nationkey").alias("key2"))

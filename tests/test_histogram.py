@@ -105,3 +105,27 @@ def test_buckets_are_ordered_like_values_and_bounded(spark):
     pairs = sorted((r.x, r.b) for r in df.collect())
     assert [b for _, b in pairs] == sorted(b for _, b in pairs)
     assert all(b * CHUNK <= x < (b + 1) * CHUNK for x, b in pairs)
+
+
+@pytest.mark.parametrize("level", ["10000.00", "1000000.00", "100000000.00"])
+def test_tight_groups_of_large_values_keep_their_deviation(spark, level):
+    base = int(level.replace(".", ""))
+    values = [base + i for i in range(12)] + [base + 3] * 4
+    df = spark.createDataFrame([("a", v) for v in values], "g string, x long")
+    want = statistics.stdev(values) / 100
+    want_log = statistics.stdev(math.log(v) - math.log(base) for v in values)
+    for parts in (1, 7):
+        hist = value_histogram(df.repartition(parts), ["g"])
+        stats = group_stats(locate(hist, ["g"]), ["g"]).first()
+        assert math.isclose(stats.std, want, rel_tol=1e-9)
+        # Relative to the bucket's middle; the logarithms themselves have fewer digits here.
+        assert math.isclose(stats.std_log, want_log, rel_tol=1e-4)
+
+
+def test_deviations_of_groups_over_many_buckets(spark):
+    values = [1, 2, 50_000_000, 50_000_001, 7_000_000_000, 123_456]
+    df = spark.createDataFrame([("a", v) for v in values * 3], "g string, x long")
+    stats = group_stats(locate(value_histogram(df, ["g"]), ["g"]), ["g"]).first()
+    assert math.isclose(stats.std, statistics.stdev(v / 100 for v in values * 3), rel_tol=1e-12)
+    logs = [math.log(v / 100) for v in values * 3]
+    assert math.isclose(stats.std_log, statistics.stdev(logs), rel_tol=1e-12)

@@ -1,10 +1,11 @@
 """Comparison, errors, backtest and windows against plain Python over the same cars."""
 
 import random
-from datetime import timedelta
+from datetime import date, timedelta
 
 import pytest
 from conftest import AS_OF, ago, rows_of
+from pyspark.sql import functions as F
 from test_rules import expected, half_up
 
 from forecourt.functions.rules import RULES
@@ -68,13 +69,37 @@ def test_windows_equal_separate_runs(listings, cars):
     inputs = listings(cars)
     study = ev.fit(inputs, ev.STYLE, ago(90), AS_OF, min_ns=(11,))
     rows = study_rows(inputs.hist, inputs.dealers, inputs.vins, ago(900), AS_OF)
-    got = rows_of(ev.mae_by_window(study, rows, AS_OF, {"10": 10, "45": 45}), "dim")
+    got = rows_of(ev.mae_by_window(study, rows, AS_OF, {"45": 45, "10": 10}), "dim")
     for label, days in (("10", 10), ("45", 45), ("all", 900)):
         part = rows.filter(f"vin_last_dt > date '{ago(days)}'")
         want = ev.common_error_row(study, ev.price_histogram(part, ["style_id"])).first().asDict()
         assert {k: got[label][k] for k in want} == want
 
 
+def test_windows_without_listings_have_a_row(listings, cars):
+    inputs = listings(cars)
+    study = ev.fit(inputs, ev.STYLE, ago(90), AS_OF, min_ns=(11,))
+    rows = study_rows(inputs.hist, inputs.dealers, inputs.vins, None, AS_OF)
+    got = rows_of(ev.mae_by_window(study, rows, date(2005, 1, 1)), "dim")
+    assert set(got) == {"curr", "45", "90", "120", "all"}
+    assert got["120"]["price"] is None and got["all"]["price"] is not None
+    with pytest.raises(ValueError, match="different days"):
+        ev.mae_by_window(study, rows, AS_OF, {"a": 5, "b": 5})
+
+
+def test_rows_without_a_key_are_counted_when_scored(listings, cars):
+    inputs = listings(cars)
+    study = ev.fit(inputs, ev.STYLE, ago(90), AS_OF, min_ns=(11,))
+    rows = study_rows(inputs.hist, inputs.dealers, inputs.vins, ago(90), AS_OF)
+    some = rows.withColumn("style_id", F.when(F.col("vin") != "v0", F.col("style_id")))
+    hist = ev.price_histogram(some, ["style_id"], null_groups=True)
+    assert hist.agg(F.sum("n")).first()[0] == rows.count()
+    kept = ev.price_histogram(rows, ["style_id"])
+    both = [ev.common_error_row(study, h).first().asDict() for h in (hist, kept)]
+    assert both[0]["price_rough"] == both[1]["price_rough"]
+    assert both[0]["mae_mean"] < both[1]["mae_mean"]
+
+
 def test_colliding_labels_stay_two_groups(listings):
     inputs = listings([{"make": 1, "model": 23}, {"make": 12, "model": 3}])
     hist = ev.histogram(inputs, ev.YMM, ago(90), AS_OF)
@@ -106,4 +131,7 @@ def test_checks(spark, listings):
     a = spark.createDataFrame([(1, 5), (1, 5), (2, 9)], "k int, n int")
     b = spark.createDataFrame([(1, 7), (2, 4), (3, 1)], "k int, n int")
     assert tuple(checks.key_check(a, ["k"]).first()) == (3, 2)
+    some = spark.createDataFrame([(1, 5), (None, 5)], "k int, n int")
+    assert tuple(checks.key_check(some, ["k"]).first()) == (2, 1)
+    assert tuple(checks.key_check(some.limit(0), ["k"]).first()) == (0, 0)
     assert tuple(checks.reconcile(a, b, ["k"], "n").first()) == (-2, 5)

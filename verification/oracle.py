@@ -22,7 +22,10 @@ from verification.queries import (
 )
 
 TODAY = f"DATE '{AS_OF}'"
+
+# What values exactly on a bound may miss it by, for prices and for logarithms.
 SLACK = "1e-7"
+LOG_SLACK = "1e-12"
 
 INPUTS = """
 z as (
@@ -57,7 +60,8 @@ vins as (
 zipdist as (
   select cast(a.n_nationkey as varchar) as zip1, cast(b.n_nationkey as varchar) as zip2,
     cast(abs(a.n_nationkey - b.n_nationkey) * 40 as double) as distance
-  from nation a cross join nation b)"""
+  from nation a cross join nation b
+  where abs(a.n_nationkey - b.n_nationkey) * 40 <= 1000)"""
 
 
 def facts(days: int = 121) -> str:
@@ -120,7 +124,7 @@ profiled as (
   select *, count(*) over g as n_group, avg(ln(x)) over g as mu, stddev_samp(ln(x)) over g as sd
   from rows_ window g as (partition by {group})),
 judged as (
-  select *, n_group < 6 or ln(x) between mu - 2 * sd - {SLACK} and mu + 2 * sd + {SLACK} as keep
+  select *, n_group < 6 or ln(x) between mu - 2 * sd - {LOG_SLACK} and mu + 2 * sd + {LOG_SLACK} as keep
   from profiled)"""
 
 
@@ -205,7 +209,7 @@ def market_bands() -> str:
         from markets where distance <= {b} group by zip"""
         for b in (25, 50, 100, 250)
     )
-    return f"""{with_ctes(facts(DAYS))} {bands} union all
+    return f"""{with_ctes(facts())} {bands} union all
       select 'nationwide', null, count(*) filter (where sold_flg),
         count(*) filter (where not sold_flg) from facts"""
 
@@ -253,21 +257,23 @@ YMM = {
 }
 
 
-def study_select(known: str, start: date | str, end: date | str) -> str:
+def study_select(known: str, start: date | str | None, end: date | str) -> str:
+    since = f" and vin_last_dt >= DATE '{start}'" if start else ""
     return f"""
   select h.vin, h.dealer_id, vin_last_dt, price, style_id, model_year, make_id, model_id,
     division_name as make, model_name as model
   from hist h join dealers d on h.dealer_id = d.dealer_id join vins v on h.vin = v.vin
     join divisions on make_id = division_id join models m using (model_id)
   where latest_record_flg and price > 0 and {known}
-    and vin_last_dt between DATE '{start}' and DATE '{end}'"""
+    and vin_last_dt <= DATE '{end}'{since}"""
 
 
-def near(value: str, low: str, high: str) -> str:
-    return f"{value} between ({low}) - {SLACK} and ({high}) + {SLACK}"
+def near(value: str, low: str, high: str, slack: str = SLACK) -> str:
+    return f"{value} between ({low}) - {slack} and ({high}) + {slack}"
 
 
 GAP = "cast(price - med as double)"
+# The rules' names and multiples.
 MEAN_OR_MAD = "case when mad = 0 then {m} * meanad else {k} * mad end"
 KEPT = {
     "med": near(GAP, "-5.189 * mad", "5.189 * mad"),
@@ -289,8 +295,8 @@ KEPT = {
     "ntiles": "centile between 2 and 99",
     "emp": near("cast(price as double)", "mean_ - 3 * std_", "mean_ + 3 * std_"),
     "chb": near("cast(price as double)", "mean_ - 4.5 * std_", "mean_ + 4.5 * std_"),
-    "3std_log": near("ln(price)", "mean_log - 3 * std_log", "mean_log + 3 * std_log"),
-    "2std_log": near("ln(price)", "mean_log - 2 * std_log", "mean_log + 2 * std_log"),
+    "3std_log": near("ln(price)", "mean_log - 3 * std_log", "mean_log + 3 * std_log", LOG_SLACK),
+    "2std_log": near("ln(price)", "mean_log - 2 * std_log", "mean_log + 2 * std_log", LOG_SLACK),
 }
 
 
@@ -425,14 +431,14 @@ def backtest() -> str:
 
 def mae_by_window() -> str:
     by = ", ".join(YMM["key"])
-    everything = study_select(YMM["known"], "1900-01-01", AS_OF)
+    everything = study_select(YMM["known"], None, AS_OF)
     lows = {"curr": 1, "45": 45, "90": 90, "120": 120, "all": 100000}
     windows = ", ".join(f"('{name}', {days})" for name, days in lows.items())
     return f"""{with_ctes(comparison_ctes(YMM, STUDY_START, AS_OF, (11,)))},
       scored as (select {by}, price, vin_last_dt from ({everything})),
       windows(dim, days) as (values {windows})
       select dim, {named(common_columns())}
-      from scored join windows on {TODAY} - vin_last_dt < days
+      from windows left join scored on {TODAY} - vin_last_dt < days
         left join (select * exclude (make, model) from comparison) using ({by})
       group by dim"""
 
@@ -507,7 +513,7 @@ def all_oracles() -> dict[str, str]:
             "vin, try_cast(model_year || cast(make_id as varchar) || cast(model_id as varchar)"
             " as bigint) as ymm_key"
         ),
-        "market_fact_100": f"{with_ctes(facts(DAYS))} select {MARKET_COLUMNS}"
+        "market_fact_100": f"{with_ctes(facts())} select {MARKET_COLUMNS}"
         " from markets where distance <= 100",
         "market_bands": market_bands(),
         "make_model_names": f"""{with_ctes(facts())}

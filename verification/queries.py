@@ -79,13 +79,13 @@ def _listing(select: Callable[[DataFrame], DataFrame]) -> Query:
 
 def _market_fact(spark: SparkSession, sf: str) -> DataFrame:
     inputs = staged_inputs(spark, sf)
-    facts = stage(_facts(inputs, DAYS), "market-listings")
+    facts = stage(_facts(inputs), "market-listings")
     return _doubles(market.market_fact(facts, inputs.zipdist))
 
 
 def _market_bands(spark: SparkSession, sf: str) -> DataFrame:
     inputs = staged_inputs(spark, sf)
-    facts = stage(_facts(inputs, DAYS).select("zip", "sold_flg"), "band-listings")
+    facts = stage(_facts(inputs).select("zip", "sold_flg"), "band-listings")
     return market.market_bands(facts, inputs.zipdist)
 
 
@@ -256,7 +256,7 @@ def _mae_by_window(grain: ev.Grain) -> Query:
         inputs = staged_inputs(spark, sf)
         study = ev.fit(inputs, grain, STUDY_START, AS_OF, min_ns=(11,))
         rows = study_rows(
-            inputs.hist, inputs.dealers, inputs.vins, date(1900, 1, 1), AS_OF, grain.required
+            inputs.hist, inputs.dealers, inputs.vins, None, AS_OF, grain.required
         )
         return ev.mae_by_window(study, rows, AS_OF)
 
