@@ -54,6 +54,20 @@ def joined(ids: list[bytes], words: np.ndarray, offsets: np.ndarray) -> pa.ListA
     return pa.ListArray.from_arrays(pa.array(at[offsets]), taken.flatten())
 
 
+_held: dict = {}
+
+
+def held(key, make: Callable):
+    """What this worker keeps from task to task: the last thing made, under its key.
+
+    Workers serve one operator after the other, and each may fill large caches.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 class Recent:
     """A bounded cache: two generations of at most `size` answers, the older one dropped in turn.
 

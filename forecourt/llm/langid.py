@@ -11,6 +11,7 @@ Letters decide: other characters are left out, case is ignored.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.arrow_words import Recent, encoded, slices, sums
+from forecourt.llm.arrow_words import Recent, encoded, held, slices, sums
 from forecourt.llm.frames import column
 
 UNKNOWN = "und"
@@ -193,9 +194,6 @@ class Parser:
         return names, np.where(some, score.clip(0, 1), 0.0), fits
 
 
-_parsers: dict[str, Parser] = {}
-
-
 def predictor(spark: SparkSession, model: Model):
     """A function of a text column to struct(lang, score, fits).
 
@@ -205,15 +203,13 @@ def predictor(spark: SparkSession, model: Model):
     even the winner needs more phrases than there are letters: no learned language explains the text.
     """
     shared = spark.sparkContext.broadcast(model)
-    name = f"{spark.sparkContext.applicationId}-{id(shared)}"
+    name = ("languages", uuid.uuid4().hex)
 
     @F.arrow_udf("lang string, score double, fits boolean")
     def predict(texts: pa.Array) -> pa.Array:
-        if name not in _parsers:
-            _parsers.clear()
-            _parsers[name] = Parser(shared.value)
+        parser = held(name, lambda: Parser(shared.value))
         batch = pa.record_batch({"text": pc.fill_null(texts, "")})
-        parts = [_parsers[name].predict(p["text"]) for p in slices(batch, "text")]
+        parts = [parser.predict(p["text"]) for p in slices(batch, "text")]
         columns = [
             pa.array([x for p in parts for x in p[0]], pa.string()),
             pa.array([x for p in parts for x in p[1]], pa.float64()),

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.llm.arrow_words import slices
+from forecourt.llm.arrow_words import held, slices
 from forecourt.llm.frames import column, text_or_empty
 from forecourt.llm.word_ids import WordIds
 from forecourt.staging import stage
@@ -31,16 +31,6 @@ from forecourt.staging import stage
 PLACEMENT = "rank_from long, rank_to long, copies long, sequence long, offset long"
 BROADCAST_PLACEMENTS = 200_000
 
-_tokenizers: dict[int, WordIds] = {}
-
-
-def _tokenizer(vocabulary: bytes) -> WordIds:
-    """This worker's tokenizer; it outlives the task."""
-    if hash(vocabulary) not in _tokenizers:
-        _tokenizers[hash(vocabulary)] = WordIds(vocabulary)
-    return _tokenizers[hash(vocabulary)]
-
-
 def cut(lists: pa.ListArray, capacity: int) -> dict[str, np.ndarray]:
     """Pieces of each list: its number, start, length, CRC-32 of its ids, and the list's length."""
     offsets = lists.offsets.to_numpy().astype(np.int64)
@@ -79,7 +69,7 @@ def tokenized_pieces(
         vocabulary = df.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(vocabulary.value)
+        tokenizer = held(("ids", hash(vocabulary.value)), lambda: WordIds(vocabulary.value))
         for batch in batches:
             for part in slices(batch, "text"):
                 found = cut(tokenizer.ids(part["text"], end_id), capacity)

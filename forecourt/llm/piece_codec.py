@@ -15,18 +15,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.arrow_words import Recent, encoded, joined, slices
+from forecourt.llm.arrow_words import Recent, encoded, held, joined, slices
 from forecourt.llm.frames import column, text_or_empty
 from forecourt.llm.piece_bpe import MARK, PieceModel, segments
 
-_codecs: dict[int, Codec] = {}
-
-
 def _codec(proto: bytes) -> Codec:
-    """This worker's codec; it outlives the task."""
-    if hash(proto) not in _codecs:
-        _codecs[hash(proto)] = Codec(PieceModel(proto))
-    return _codecs[hash(proto)]
+    return held(("codec", hash(proto)), lambda: Codec(PieceModel(proto)))
 
 
 class Codec:

@@ -14,27 +14,22 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.arrow_words import Recent, encoded, slices, sums
+from forecourt.llm.arrow_words import Recent, encoded, held, slices, sums
 from forecourt.llm.frames import column, text_or_empty
 from forecourt.llm.piece_bpe import MARK, PieceModel, segments
 
-_counters: dict[int, Recent] = {}
-
-
 def _counter(proto: bytes) -> Recent:
-    """This worker's counter of segments; it outlives the task."""
-    if hash(proto) not in _counters:
-        model = PieceModel(proto)
-        parts = Recent(lambda new: [model.count(p) for p in new])
+    """Counts of segments."""
+    model = PieceModel(proto)
+    parts = Recent(lambda new: [model.count(p) for p in new])
 
-        def fill(words: list[str]) -> list[int]:
-            cut = [model.parts(MARK + w.replace(" ", MARK)) for w in words]
-            known = list(dict.fromkeys(p for c in cut for p in c))
-            count = dict(zip(known, parts.answers(known), strict=True))
-            return [sum(count[p] for p in c) for c in cut]
+    def fill(words: list[str]) -> list[int]:
+        cut = [model.parts(MARK + w.replace(" ", MARK)) for w in words]
+        known = list(dict.fromkeys(p for c in cut for p in c))
+        count = dict(zip(known, parts.answers(known), strict=True))
+        return [sum(count[p] for p in c) for c in cut]
 
-        _counters[hash(proto)] = Recent(fill)
-    return _counters[hash(proto)]
+    return Recent(fill)
 
 
 def counts(texts: pa.Array, counter: Recent) -> np.ndarray:
@@ -55,7 +50,7 @@ def count_tokens(
         proto = df.sparkSession.sparkContext.broadcast(file.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counter(proto.value)
+        counter = held(("counts", hash(proto.value)), lambda: _counter(proto.value))
         for batch in batches:
             for part in slices(batch, "text"):
                 yield pa.record_batch(

@@ -11,6 +11,7 @@ hashed features are collected; every text is scored whole.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm.arrow_words import Recent, encoded, slices
+from forecourt.llm.arrow_words import Recent, encoded, held, slices
 from forecourt.llm.frames import column, text_or_empty
 
 SAMPLE_ROWS = 12_000  # labelled rows the model is fitted on, about
@@ -249,9 +250,6 @@ def _gradient(
     return d_t, d_score
 
 
-_readers: dict[str, Reader] = {}
-
-
 def predictor(spark: SparkSession, model: Model):
     """A function of a text column to struct(severity, chance, grade).
 
@@ -259,17 +257,15 @@ def predictor(spark: SparkSession, model: Model):
     reached with a chance of one half or more. Null and empty texts are scored as empty.
     """
     shared = spark.sparkContext.broadcast(model)
-    name = f"{spark.sparkContext.applicationId}-{id(shared)}"
+    name = ("toxicity", uuid.uuid4().hex)
 
     @F.arrow_udf("severity double, chance double, grade int")
     def predict(texts: pa.Array) -> pa.Array:
         fitted = shared.value
-        if name not in _readers:
-            _readers.clear()
-            _readers[name] = Reader(fitted.buckets)
+        reader = held(name, lambda: Reader(fitted.buckets))
         chances = [np.zeros((0, len(fitted.thresholds)))]
         for part in slices(pa.record_batch({"text": pc.fill_null(texts, "")}), "text"):
-            row, feature = _readers[name].pairs(part["text"])
+            row, feature = reader.pairs(part["text"])
             score = np.bincount(row, weights=fitted.weights[feature], minlength=part.num_rows)
             gap = np.clip(fitted.thresholds - score[:, None], -30, 30)
             chances.append(1 / (1 + np.exp(gap)))

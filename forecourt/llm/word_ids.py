@@ -51,8 +51,8 @@ class WordIds:
         if not self.mark:
             raise ValueError("special strings must begin alike")
         self.library = Tokenizer.from_str(vocabulary.decode())
-        self.stretches = Recent(self._spelled, size=250_000)
-        self.words = Recent(self._new, size=250_000)
+        self.stretches = Recent(self._spelled, size=200_000)
+        self.words = Recent(self._new, size=200_000)
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
