@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.llm.arrow_words import Recent, encoded, held, slices, sums
@@ -26,8 +26,7 @@ from forecourt.llm.frames import column
 
 UNKNOWN = "und"
 SAMPLE_CHARS = 60_000  # of labelled text per language
-SAMPLE_TEXT_CHARS = 6_000  # longer texts are not learned from
-MIN_CHARS = 500
+SAMPLE_TEXT_CHARS = 6_000  # of one text; longer ones give a stretch of it
 MAX_LANGUAGES = 200
 
 
@@ -110,47 +109,98 @@ def learn(samples: Iterable[tuple[str, str]]) -> Model:
     return Model({n: list(words[n]) for n in names}, {n: letters[n] for n in names})
 
 
+def _stretch(text: Column, most: int) -> Column:
+    """The letters of a text and single spaces between its words, `most` characters of them at most.
+
+    A longer text gives whole words from a place that its hash chooses, or, without a space there,
+    just characters.
+    """
+    letters = F.regexp_replace(text, "(?U)[^\\p{L}\\s]+", "")
+    spelled = F.trim(F.regexp_replace(letters, "(?U)\\s+", " "))
+    n = F.length(spelled)
+    start = F.pmod(F.hash(text), F.greatest(n - most, F.lit(0)) + 1) + 1
+    piece = F.substring(spelled, start, F.lit(most))
+    whole = F.regexp_extract(piece, " (.*) ", 1)
+    return F.when(n <= most, spelled).when(whole != "", whole).otherwise(piece)
+
+
+def _filled(texts: list[tuple[int, str]], sample_chars: int) -> list[str]:
+    """In order, the texts that still fit into what is left of `sample_chars`."""
+    found, left = [], sample_chars
+    for _, text in sorted(texts):
+        if len(text) <= left:
+            found.append(text)
+            left -= len(text)
+    return found
+
+
 def fit(
     df: DataFrame,
     text: str = "text",
     language: str = "lang",
-    key: str = "doc_id",
     sample_chars: int = SAMPLE_CHARS,
 ) -> Model:
-    """Learn from a bounded sample of labelled rows: per language, whole texts of `sample_chars` at most.
+    """Learn from a sample of labelled rows: per language, `sample_chars` of letters and spaces at most.
 
-    Rows come in the order of a hash of their key. Texts over SAMPLE_TEXT_CHARS characters and rows
-    without text, label or key are not learned from. More than MAX_LANGUAGES labels raise.
+    Distinct texts come in the order of their hash until that is full; of a text with more than
+    SAMPLE_TEXT_CHARS a stretch of so many is taken. Rows without label or letters are not learned
+    from. More than MAX_LANGUAGES labels raise.
     """
-    rows = df.select(
-        column(df, key).alias("key"),
-        column(df, language).cast("string").alias("language"),
-        column(df, text).cast("string").alias("text"),
+    most = min(SAMPLE_TEXT_CHARS, sample_chars)
+    h = F.shiftrightunsigned(F.xxhash64("text"), 1)
+    # Half of all texts have level 0, a quarter level 1, and so on; the least hashes have the highest.
+    level = F.floor(-F.log2((h + F.lit(1.0)) / F.lit(2.0**63))).cast("int")
+    rows = (
+        df.select(
+            column(df, language).cast("string").alias("language"),
+            column(df, text).cast("string").alias("text"),
+        )
+        .filter(F.col("language").isNotNull() & F.col("text").rlike("\\p{L}"))
+        .select("language", "text", h.alias("h"), level.alias("level"))
     )
-    order = Window.partitionBy("language").orderBy("h", "key")
-    # A row counts as MIN_CHARS at least, so that a language has a bounded number of rows.
-    most = max(1, sample_chars // MIN_CHARS)
-    chosen = (
-        rows.filter(F.col("language").isNotNull() & F.col("key").isNotNull())
-        .withColumn("n", F.greatest(F.length("text"), F.lit(MIN_CHARS)))
-        .filter(F.col("n") <= SAMPLE_TEXT_CHARS)
-        .select("key", "language", "n", F.md5(F.col("key").cast("string")).alias("h"))
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= most)
-        .withColumn("total", F.sum("n").over(order))
-        .filter(F.col("total") <= sample_chars)
-        .select("key", "language")
-        .limit(MAX_LANGUAGES * most + 1)
+    sizes: dict[str, dict[int, int]] = {}
+    by_level = rows.groupBy("language", "level").agg(
+        F.sum(F.least(F.length("text"), F.lit(most)))
     )
-    pairs = rows.join(F.broadcast(chosen.distinct()), ["key", "language"]).select(
-        "language", "text"
-    )
-    sample = [(r[0], r[1]) for r in pairs.filter("text is not null").collect()]
-    if len({language for language, _ in sample}) > MAX_LANGUAGES:
+    for name, at, n in by_level.limit(64 * MAX_LANGUAGES + 1).collect():
+        sizes.setdefault(name, {})[at] = n
+    if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+
+    # The highest level of each language from which on there is enough.
+    open_ = {
+        name: next((k for k in range(63, 0, -1) if _from(levels, k) >= sample_chars), 0)
+        for name, levels in sizes.items()
+    }
+    sample = []
+    while open_:
+        least = df.sparkSession.createDataFrame(list(open_.items()), "language string, least int")
+        near = (
+            rows.join(F.broadcast(least), "language")
+            .filter("level >= least")
+            .select("language", "h", _stretch(F.col("text"), most).alias("text"))
+            .groupBy("language", "h")
+            .agg(F.min("text"))
+        )
+        found: dict[str, list[tuple[int, str]]] = {name: [] for name in open_}
+        for name, place, piece in near.collect():
+            found[name].append((place, piece))
+        short = {}
+        for name, texts in found.items():
+            n = sum(len(t) for _, t in texts)
+            if n < sample_chars and open_[name]:  # copies, or few letters
+                fewer = max(1, int(math.log2(sample_chars / max(1, n))))
+                short[name] = max(0, open_[name] - fewer)
+            else:
+                sample += [(name, t) for t in _filled(texts, sample_chars)]
+        open_ = short
     return learn(sorted(sample))
 
 
+def _from(levels: dict[int, int], least: int) -> int:
+    return sum(n for at, n in levels.items() if at >= least)
+
+
 class Parser:
     def __init__(self, model: Model):
         self.names = list(model.words)

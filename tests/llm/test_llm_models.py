@@ -74,6 +74,35 @@ def test_odd_tables(spark, odd_docs, no_docs):
     assert {r.p.grade for r in rows} == {0}
 
 
+def spelled(n, letters):
+    """The n-th word over some letters."""
+    return "".join(letters[n // len(letters) ** i % len(letters)] for i in range(4))
+
+
+def test_languages_of_long_short_repeated_and_null_texts(spark):
+    words = lambda letters, n: [spelled(i, letters) for i in range(n)]
+    book = " ".join(words("αβγδεζηθ", 3000))
+    rows = [(i, f"{book} {i}", "long") for i in range(3)]
+    rows += [(i, w, "short") for i, w in enumerate(words("abcdefgh", 600))]
+    rows += [(7, None, "short")] * 600 + [(7, "12 !", "short")] * 600
+    rows += [(8, "日本" * 5000, "unspaced"), (None, "жзик", "no key")]
+    rows += [(9, f"{'1 ' * 9000} {w}", "digits") for w in words("ijklmnop", 50)]
+    rows += [(9, "xyz", "copies")] * 3000 + [(9, w, "copies") for w in words("qrstuvwx", 900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert set(model.words) == {"long", "short", "unspaced", "no key", "digits", "copies"}
+    assert set(model.words["long"]) <= set(words("αβγδεζηθ", 3000)) and model.letters["long"] > 15_000
+    assert set(model.words["short"]) == set(words("abcdefgh", 600))
+    assert set(model.words["digits"]) == set(words("ijklmnop", 50))
+    assert set(model.words["copies"]) == {"xyz", *words("qrstuvwx", 900)}
+    few = langid.fit(df, sample_chars=400)
+    assert set(few.words) == set(model.words)
+    for name, found in few.words.items():
+        assert sum(map(len, found)) <= 400
+        full = sum(map(len, model.words[name]))
+        assert sum(map(len, found)) >= min(full, 300)
+
+
 def test_toxic_rows_that_were_held_out(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F.col("toxic").alias("y"))
