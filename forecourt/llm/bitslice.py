@@ -31,11 +31,13 @@ INDEX = (
 )
 
 
-def quantised(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
+def quantised(
+    df: DataFrame, key: str, vector: str, scale: int, every_row: bool = False
+) -> DataFrame:
     """key and v, the floor of scale times each component, of rows that take part.
 
     Vectors that are null or hold null, infinite or undefined components take no part, nor do rows
-    without key. Of rows that repeat a key one stays, that with the largest vector.
+    without key. Rows that repeat a key all stay if `every_row`, else that with the largest vector.
     """
     rows = df.select(
         column(df, key).cast("long").alias("key"),
@@ -47,7 +49,7 @@ def quantised(df: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
     whole = rows.filter(~odd).select(
         "key", F.transform("v", lambda x: F.floor(x * scale)).alias("v")
     )
-    return whole.groupBy("key").agg(F.max("v").alias("v"))
+    return whole if every_row else whole.groupBy("key").agg(F.max("v").alias("v"))
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -98,9 +100,13 @@ def index_block(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def build_index(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Index rows of all of `rows` (key, v), staged; each block has about `block_rows` of them."""
+    """Index rows of all of `rows` (key, v), staged; each block has about `block_rows` of them.
+
+    `rows` must be read from files: they are dealt by where they lie, as a key may repeat often.
+    """
     blocks = max(1, math.ceil(rows.count() / block_rows))
-    number = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    number = F.pmod(place, F.lit(blocks)).cast("int")
     dealt = rows.withColumn("block", number)
     return stage(dealt.groupBy("block").applyInPandas(index_block, INDEX), "slices")
 
@@ -158,11 +164,13 @@ class Block:
         return found
 
     def top(self, query: np.ndarray, own: int, k: int) -> np.ndarray:
-        """Positions of the k rows with the highest scores but the query's own, ties to smaller ids."""
+        """Positions of the k rows with the highest scores but those of the query's id, ties to smaller ids."""
         open_ = self.every.copy()
-        at = np.searchsorted(self.ids, own)
-        if at < len(self.ids) and self.ids[at] == own:
-            open_[at // 64] &= ~(np.uint64(1) << np.uint64(at % 64))
+        start, end = np.searchsorted(self.ids, own), np.searchsorted(self.ids, own, side="right")
+        if start < end:
+            rest = np.ones(len(open_) * 64, np.uint8)
+            rest[start:end] = 0
+            open_ &= np.packbits(rest, bitorder="little").view(np.uint64)
         sure, n_sure = np.zeros_like(open_), 0
         for bits in reversed(self.scores(query)):
             high = open_ & bits
@@ -189,8 +197,8 @@ def _search(k: int):
             block = Block(row)
             asked = _matrix(queries["v"])
             dims = min(asked.shape[1], block.vectors.shape[1])
-            for own, query in zip(queries["key"], asked, strict=True):
-                at = block.top(query, own, k)
+            for own, query, n in zip(queries["key"], asked, queries["n"], strict=True):
+                at = np.repeat(block.top(query, own, k), n)
                 exact = block.vectors[at, :dims].astype(np.int64) @ query[:dims]
                 found.append(pd.DataFrame({"query": own, "key": block.ids[at], "score": exact}))
         if not found:
@@ -201,13 +209,16 @@ def _search(k: int):
 
 
 def search(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """query, rank (from 1), key and score of each query's k best rows other than its own.
+    """query, rank (from 1), key and score of each query's k best rows with another key.
 
-    `queries` has columns key and v. With fewer other rows than k all come back. No queries or an
-    empty index give no rows.
+    `queries` has columns key and v. Queries that share a key share k places, and a row comes once
+    for each of them. With fewer other rows than k all come back. No queries or an empty index give
+    no rows.
     """
     blocks = index.count()
-    asked = stage(queries.select("key", "v"), "queries")
+    # Equal queries are asked once; of the copies of an answer no more than k have a place.
+    times = F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("n")
+    asked = stage(queries.groupBy("key", "v").agg(times), "queries")
     chunks = max(1, math.ceil(asked.count() / CHUNK_QUERIES))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     if not blocks:
@@ -217,7 +228,7 @@ def search(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     # Every chunk of queries meets every block; both are bounded.
     left = index.withColumn("chunk", every(chunks)).groupBy("block", "chunk")
     right = (
-        asked.withColumn("chunk", F.pmod(F.xxhash64("key"), F.lit(chunks)).cast("int"))
+        asked.withColumn("chunk", F.pmod(F.xxhash64("key", "v"), F.lit(chunks)).cast("int"))
         .withColumn("block", every(blocks))
         .groupBy("block", "chunk")
     )
@@ -234,7 +245,11 @@ def nearest(
     key: str = "vec_id",
     vector: str = "embedding",
     scale: int = 64,
+    every_row: bool = False,
 ) -> DataFrame:
-    """Each query's k best rows; queries are the rows for which `asks` (of `key`) holds."""
-    rows = stage(quantised(df, key, vector, scale), "quantised")
+    """Each query's k best rows; queries are the rows for which `asks` (of `key`) holds.
+
+    Of rows that repeat a key only one takes part, unless `every_row`.
+    """
+    rows = stage(quantised(df, key, vector, scale, every_row), "quantised")
     return search(build_index(rows), rows.filter(asks), k)

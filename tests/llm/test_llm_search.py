@@ -1,11 +1,16 @@
 """Bit-sliced search against brute force."""
 
+from collections import Counter
+
+import duckdb
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from forecourt.llm import bitslice
+from forecourt.llm.oracle import ORACLES
+from forecourt.llm.queries import op6_bit_sliced
 
 
 def brute(rows, k, asks):
@@ -67,6 +72,24 @@ def test_odd_vectors(spark):
     check(spark, [(1, [1.0]), (2, [2.0])], 3)  # no queries
 
 
+@pytest.mark.parametrize("block, chunk", [(65_536, 512), (20, 3)])
+def test_repeated_ids_as_the_query_has_them(spark, saved, tmp_path, monkeypatch, block, chunk):
+    monkeypatch.setattr(bitslice, "CHUNK_QUERIES", chunk)
+    monkeypatch.setattr(bitslice.build_index, "__defaults__", (block,))
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(0, 0.3, (150, 5)).astype(np.float32).tolist()
+    ids = list(range(100)) + [7] * 20 + [20] * 3 + [40] * 25 + [None] * 2
+    vectors[110:120] = [vectors[7]] * 10  # the same row again
+    vectors[123:148] = [vectors[40]] * 25  # and a query more often than it has places
+    saved(spark.createDataFrame(list(zip(ids, vectors, strict=True)), "vec_id long, embedding array<float>"), "embeddings")
+    got = op6_bit_sliced(spark, str(tmp_path)).collect()
+    duck = duckdb.connect()
+    duck.execute(f"create view embeddings as from '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = duck.execute(ORACLES["op6_bit_sliced"]).fetchall()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) == 100
+    assert max(Counter((r.query_id, r.vec_id) for r in got).values()) > 1
+
+
 def test_too_large_components_are_an_error():
     with pytest.raises(ValueError, match="within"):
         bitslice.index_block(pd.DataFrame({"block": [0], "key": [1], "v": [[1 << 40]]}))
