@@ -36,6 +36,17 @@ SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+")
 
 
+def _lowered(words: list[str]) -> tuple[np.ndarray, list[str]]:
+    """Which of the distinct words returned each word is: wholly ASCII ones are lower-cased.
+
+    Others stay as they are, as normalisation may compose their capitals before it lower-cases.
+    """
+    array = pa.array(words, pa.string())
+    ascii_ = pc.equal(pc.binary_length(array), pc.utf8_length(array))
+    coded = pc.if_else(ascii_, pc.ascii_lower(array), array).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+
+
 class WordIds:
     def __init__(self, vocabulary: bytes):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -86,8 +97,10 @@ class WordIds:
         """Ids of each text and the end id; no nulls in `texts`."""
         special = pc.match_substring(texts, self.mark)
         plain = pc.if_else(special, "", texts)
-        spaced = pc.replace_substring(pc.ascii_lower(plain), "\n", " ")
+        spaced = pc.replace_substring(plain, "\n", " ")
         offsets, words, distinct = encoded(pc.split_pattern(spaced, " "))
+        lower, distinct = _lowered(distinct)
+        words = lower[words]
         each = [*self.words.answers(distinct), np.array([end_id], np.int32).tobytes()]
         rows = np.flatnonzero(special.to_numpy(zero_copy_only=False))
         each += [x.tobytes() for x in self._library([texts[int(i)].as_py() for i in rows])]

@@ -36,6 +36,12 @@ def test_any_text_as_the_library_has_it(texts):
     assert WORDS.ids(pa.array(texts, pa.string()), 2).to_pylist() == library_ids(texts)
 
 
+def test_capitals_without_a_composed_form():
+    texts = ["H\u0331alil J\u030cak", "T\u0308 W\u030a\nY\u030a", "h\u0331alil HALIL halil"]
+    texts += [f"{chr(c)}{chr(m)}a" for c in range(65, 91) for m in range(0x300, 0x370)]
+    assert WORDS.ids(pa.array(texts, pa.string()), 2).to_pylist() == library_ids(texts)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 60), max_size=12))
 def test_placements_fill_whole_packs_without_overlap(histogram):
