@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.llm import bitslice, langid, packing, piece_codec, sharding, simhash, stream_dedup, token_counts, toxicity, warc
+from forecourt.llm import (
+    bitslice,
+    decontaminate,
+    hard_negatives,
+    langid,
+    packing,
+    piece_codec,
+    resample,
+    sharding,
+    simhash,
+    stream_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
 from forecourt.llm.frames import text_or_empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,6 +169,36 @@ def op10_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_automaton_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in passages of benchmark items, and those items."""
+    found = decontaminate.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_median_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance weight and score, and the rank of those drawn."""
+    docs, target = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return resample.resample(docs, target).drop("n_words")
+
+
+def op13_sorted_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every vector whose id is divisible by 50; some labels are made wrong first."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    found = hard_negatives.mine(vectors, F.col("id") % 50 == 0, label)
+    return found.withColumnsRenamed(
+        {"anchor": "anchor_id", "positive": "positive_id", "negative": "negative_id"}
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_interleave": op1_interleave,
@@ -167,6 +211,9 @@ def all_queries() -> dict[str, Query]:
         "op8_dictionary_warc": op8_dictionary_warc,
         "op9_piece_codec": op9_piece_codec,
         "op10_ordinal_toxicity": op10_ordinal_toxicity,
+        "op11_automaton_decontamination": op11_automaton_decontamination,
+        "op12_median_resampling": op12_median_resampling,
+        "op13_sorted_negatives": op13_sorted_negatives,
     }
 
 
