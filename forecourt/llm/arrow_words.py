@@ -14,6 +14,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
+LONGEST = 256  # characters of a key that is kept
+ENTRY = 220  # bytes of a kept entry beside its letters
+ROOM = 40 << 20
+STORED = 4096  # entries at once
 
 
 def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -27,15 +31,20 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
         yield batch.slice(int(start), int(end - start))
 
 
-def encoded(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """Offsets of each text's words, the words as numbers, and the distinct words."""
+def encoded(
+    lists: pa.ListArray, fold: Callable[[pa.Array], pa.Array] | None = None
+) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Offsets of each text's words, the words as numbers, and the distinct words.
+
+    With `fold`, words are made alike by it first, each distinct one once.
+    """
     offsets = lists.offsets.to_numpy()
     coded = lists.flatten().dictionary_encode()
-    return (
-        (offsets - offsets[0]).astype(np.int64),
-        coded.indices.to_numpy(zero_copy_only=False),
-        coded.dictionary.to_pylist(),
-    )
+    numbers, distinct = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+    if fold:
+        again = fold(distinct).dictionary_encode()
+        numbers, distinct = again.indices.to_numpy(zero_copy_only=False)[numbers], again.dictionary
+    return (offsets - offsets[0]).astype(np.int64), numbers, distinct.to_pylist()
 
 
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -69,13 +78,14 @@ def held(key, make: Callable):
 
 
 class Recent:
-    """A bounded cache: two generations of at most `size` answers, the older one dropped in turn.
+    """A cache bounded by bytes: two generations of about `room` bytes at most, the older one dropped in turn.
 
-    `fill` gets the keys that are not known and returns their answers in order.
+    `fill` gets the keys that are not known and returns their answers in order. Keys of more than
+    LONGEST characters are not kept: whole texts without spaces would fill any cache, and rarely come again.
     """
 
-    def __init__(self, fill: Callable[[list[str]], Iterable], size: int = 150_000):
-        self.fill, self.size = fill, size
+    def __init__(self, fill: Callable[[list[str]], Iterable], room: int = ROOM):
+        self.fill, self.room, self.used = fill, room, 0
         self.young: dict = {}
         self.old: dict = {}
 
@@ -92,9 +102,14 @@ class Recent:
                     unknown.append(i)
             for i, x in zip(unknown, self.fill([keys[i] for i in unknown]), strict=True):
                 found[i] = x
-            for start in range(0, len(missing), self.size):
-                some = missing[start : start + self.size]
-                if len(self.young) + len(some) > self.size:
-                    self.old, self.young = self.young, {}
-                self.young.update((keys[i], found[i]) for i in some)
+            for start in range(0, len(missing), STORED):
+                self._keep({k: found[i] for i in missing[start : start + STORED] if len(k := keys[i]) <= LONGEST})
         return found
+
+    def _keep(self, some: dict) -> None:
+        # An answer is a few bytes per character of its key.
+        cost = ENTRY * len(some) + 6 * sum(map(len, some))
+        if self.used + cost > self.room:
+            self.old, self.young, self.used = self.young, {}, 0
+        self.young |= some
+        self.used += cost

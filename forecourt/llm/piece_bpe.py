@@ -4,7 +4,8 @@ A text is first written with U+2581 for each space and one such mark in front. I
 characters are the first symbols. All adjacent pairs that form a piece stand on an agenda, a
 heap ordered by score and then by position, over a linked list of the symbols; the
 best pair is merged, its new neighbours join the agenda, and pairs whose symbols have
-changed meanwhile are passed over.
+changed meanwhile are passed over. Symbols are numbers, and a table built once says for two
+of them which piece they form and where it stands on the agenda.
 
 A merge can never cross two characters that stand side by side in no piece. Texts
 therefore fall into parts that are merged on their own, and each distinct part
@@ -23,6 +24,12 @@ import sentencepiece
 from sentencepiece import sentencepiece_model_pb2
 
 MARK = "▁"
+
+WIDTH = 22  # bits of a symbol's number
+OUTSIDE = 1 << 21  # numbers of characters without piece begin here
+GONE = -1
+PLACE_BITS = 32
+PLACES = (1 << PLACE_BITS) - 1
 _SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -63,6 +70,7 @@ class PieceModel:
             self.bytes_of.append(text)
             self.marked.append(piece.type == kinds.NORMAL and piece.piece[0] == MARK)
         self.end_id = trainer.eos_id
+        self.pairs = self._pairs()
         self.linked = {p[i : i + 2] for p in self.rank for i in range(len(p) - 1)}
         self.words_end_at_spaces = not any(
             pair[1] == MARK and pair[0] != MARK for pair in self.linked
@@ -71,6 +79,27 @@ class PieceModel:
             raise ValueError("pieces that span words are not supported")
         self.library = sentencepiece.SentencePieceProcessor(model_proto=proto)
 
+    def _pairs(self) -> dict[int, tuple[int, int]]:
+        """For two symbols (as one number) that form a piece: its place on the agenda, and it.
+
+        A symbol is a piece or a single character; characters without piece have numbers of their own.
+        """
+        order = {s: i for i, s in enumerate(sorted(set(self.rank.values())))}
+        self.symbol = {p: i for p, i in self.id.items() if len(p) == 1}
+
+        def number(text: str) -> int | None:
+            if text in self.id:
+                return self.id[text]
+            return OUTSIDE + ord(text) if len(text) == 1 else None
+
+        found = {}
+        for piece, i in self.id.items():
+            for cut in range(1, len(piece)):
+                left, right = number(piece[:cut]), number(piece[cut:])
+                if left is not None and right is not None:
+                    found[left << WIDTH | right] = (order[self.rank[piece]] << PLACE_BITS, i)
+        return found
+
     def parts(self, segment: str) -> list[str]:
         """Cut a segment wherever its neighbouring characters share no piece."""
         linked, start, found = self.linked, 0, []
@@ -81,54 +110,58 @@ class PieceModel:
         found.append(segment[start:])
         return found
 
-    def merged(self, part: str) -> tuple[list[str], int]:
+    def merged(self, part: str) -> tuple[list[int], int]:
         """The symbols that remain when the agenda is empty, and how many merges it took."""
-        n, rank = len(part), self.rank.get
-        symbols: list[str | None] = list(part)
+        symbol, pairs = self.symbol.get, self.pairs.get
+        symbols = [symbol(c) or OUTSIDE + ord(c) for c in part]
+        n = len(symbols)
         agenda = []
         for i in range(n - 1):
-            score = rank(part[i : i + 2])
-            if score is not None:
-                agenda.append((score, i, 2))
+            pair = pairs(symbols[i] << WIDTH | symbols[i + 1])
+            if pair is not None:
+                agenda.append(pair[0] | i)
         if not agenda:
             return symbols, 0
         heapify(agenda)
         after, before, merges = list(range(1, n + 1)), list(range(-1, n - 1)), 0
         while agenda:
-            _, i, size = heappop(agenda)
-            left, j = symbols[i], after[i]
-            if left is None or j >= n or len(left) + len(symbols[j]) != size:
+            entry = heappop(agenda)
+            i = entry & PLACES
+            j, left = after[i], symbols[i]
+            if left < 0 or j >= n:
+                continue
+            pair = pairs(left << WIDTH | symbols[j])
+            if pair is None or pair[0] != entry - i:  # one of the two has changed meanwhile
                 continue
-            left += symbols[j]
-            symbols[i], symbols[j] = left, None
+            left = symbols[i] = pair[1]
+            symbols[j] = GONE
             merges += 1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                score = rank(left + symbols[k])
-                if score is not None:
-                    heappush(agenda, (score, i, len(left) + len(symbols[k])))
+                pair = pairs(left << WIDTH | symbols[k])
+                if pair is not None:
+                    heappush(agenda, pair[0] | i)
             h = before[i]
             if h >= 0:
-                score = rank(symbols[h] + left)
-                if score is not None:
-                    heappush(agenda, (score, h, len(symbols[h]) + len(left)))
-        return [s for s in symbols if s is not None], merges
+                pair = pairs(symbols[h] << WIDTH | left)
+                if pair is not None:
+                    heappush(agenda, pair[0] | h)
+        return [s for s in symbols if s >= 0], merges
 
     def count(self, part: str) -> int:
         """Number of tokens: initial symbols less merges; a character without piece is its bytes."""
         symbols, merges = self.merged(part)
-        unknown = sum(len(s.encode()) - 1 for s in symbols if len(s) == 1 and s not in self.id)
+        unknown = sum(len(chr(s - OUTSIDE).encode()) - 1 for s in symbols if s >= OUTSIDE)
         return len(part) - merges + unknown
 
     def ids(self, part: str) -> list[int]:
+        symbols, _ = self.merged(part)
+        if max(symbols, default=0) < OUTSIDE:
+            return symbols
         found: list[int] = []
-        for symbol in self.merged(part)[0]:
-            i = self.id.get(symbol)
-            if i is None:
-                found.extend(self.byte_id[b] for b in symbol.encode())
-            else:
-                found.append(i)
+        for s in symbols:
+            found.extend([s] if s < OUTSIDE else [self.byte_id[b] for b in chr(s - OUTSIDE).encode()])
         return found
 
 

@@ -5,10 +5,11 @@ lives in RocksDB stores, checkpointed to the shared folder, and never expires: p
 digest it keeps how many rows had it, the largest identifier, and where that row's
 content lies (file and row number). The state is read back with Spark's state reader.
 
-Digests that more than one row has are hits. For hits only, full texts are compared:
-rows are grouped by digest and whole text, which is combined before the shuffle, so a
-group of copies sends one text per task. A digest with two different texts is split
-into classes by text.
+Digests that more than one row has are hits. Whether the texts of a hit are equal is
+found by grouping all rows by digest and whole text, combined before the shuffle:
+moving every distinct text once costs the same at every size, while moving only texts of hits
+needs their digests in every task. A digest with two different texts is split into classes
+by text.
 """
 
 from __future__ import annotations
@@ -28,9 +29,6 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
-#: Digests with hits are broadcast up to this number (some 50 MB), else shuffled.
-BROADCAST_HITS = 400_000
-
 
 def normalised(df: DataFrame, text: str) -> Column:
     """The text two rows must share: A-Z lower-cased, null as empty."""
@@ -60,18 +58,27 @@ def located(df: DataFrame, key: str, text: str, digest, full: bool = False) -> D
 
 def _pattern(path: str) -> str:
     """The path as a pattern that only it matches: streams take single files only by pattern."""
-    folder, _, name = path.rstrip("/").rpartition("/")
-    return f"{folder}/{{{name}}}"
+    folder, slash, name = path.rstrip("/").rpartition("/")
+    whole = "".join(f"\\{c}" if c in "\\{}[]*?," else c for c in f"{folder}{slash}{name[:-1]}")
+    return f"{whole}[{name[-1]}]"
 
 
-def fold(spark: SparkSession, path: str, key: str, text: str, digest, batch_bytes: int):
+def fold(
+    spark: SparkSession,
+    path: str,
+    key: str,
+    text: str,
+    digest,
+    batch_bytes: int,
+    checkpoint: str | None = None,
+) -> str:
     """Run the stream over all files under `path`; returns the state's checkpoint folder.
 
     `batch_bytes` of files go into each micro-batch. The stream ends when it has read the files
-    there are; started again on the same checkpoint it goes on with new ones.
+    there are; given the checkpoint of an earlier run, it goes on with files that are new.
     """
     schema = spark.read.parquet(path).schema
-    checkpoint = new_path(spark, "dedup-state")
+    checkpoint = checkpoint or new_path(spark, "dedup-state")
     before = {k: spark.conf.get(k, None) for k in STATE_CONF}
     for k, v in STATE_CONF.items():
         spark.conf.set(k, v)
@@ -116,35 +123,37 @@ def dedup(
     text: str = "text",
     digest=sha256,
     batch_bytes: int = 100_000_000_000,
+    checkpoint: str | None = None,
 ) -> DataFrame:
     """One row per row of the Parquet table at `path`: `row` (key, file, row), digest, keep, n.
 
     Equal texts form a group; `keep` is its row with the largest key (ties: the later file
     or row), `n` its size. Null and empty texts are equal. A null key is smaller than any other.
     An empty table gives no rows. `digest` maps a text column to a digest column; a weak one
-    costs time but no result.
+    costs time but no result. A very long text is shuffled whole, once. Other columns play no part,
+    whatever their names. With the `checkpoint` of an earlier call, files that were folded then are
+    not folded again.
     """
     if spark.read.parquet(path).isEmpty():
         empty = located(spark.read.parquet(path), key, text, digest)
         return empty.withColumns({"keep": F.col("row"), "n": F.lit(1).cast("long")})
     seen = stage(
-        state(spark, fold(spark, path, key, text, digest, batch_bytes)), "dedup-seen"
+        state(spark, fold(spark, path, key, text, digest, batch_bytes, checkpoint)), "dedup-seen"
     )
     rows = located(spark.read.parquet(path), key, text, digest)
-    hits = seen.filter("n > 1").select("digest")
-    if hits.count() <= BROADCAST_HITS:
-        hits = F.broadcast(hits)  # else whole texts of rows without hits are shuffled as well
+    joined = rows.join(seen, "digest")
 
+    # Whole texts meet by digest and text, which is combined before the shuffle, so a group of copies sends
+    # one text per task. A digest with two of them is split into classes.
     texts = located(spark.read.parquet(path), key, text, digest, full=True)
-    classes = (
-        texts.join(hits, "digest", "left_semi")
-        .groupBy("digest", "full")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("row").alias("keep"))
-    )
-    clashes = classes.groupBy("digest").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    distinct = texts.select("digest", "full").distinct()
+    clashes = distinct.groupBy("digest").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     clashing = stage(clashes.select("digest"), "dedup-clashes")
-    joined = rows.join(seen, "digest")
     if clashing.isEmpty():
         return joined
-    split = texts.join(clashing, "digest", "left_semi").join(classes, ["digest", "full"])
+    both = texts.join(clashing, "digest", "left_semi")
+    classes = both.groupBy("digest", "full").agg(
+        F.count(F.lit(1)).alias("n"), F.max("row").alias("keep")
+    )
+    split = both.join(classes, ["digest", "full"])
     return joined.join(clashing, "digest", "left_anti").unionByName(split.drop("full"))

@@ -94,7 +94,7 @@ def sample(labelled: DataFrame, docs: DataFrame, key: str, text: str, rows: int)
     chosen = labelled.filter(F.crc32(F.col("key").cast("string")) < share * 2**32).limit(2 * rows)
     # The sample has a bounded number of rows and goes to the texts.
     slim = docs.select(column(docs, key).alias("key"), text_or_empty(docs, text).alias("text"))
-    texts = slim.join(F.broadcast(chosen), "key").select("grade", "text")
+    texts = slim.join(F.broadcast(chosen), "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
@@ -106,10 +106,14 @@ def sample(labelled: DataFrame, docs: DataFrame, key: str, text: str, rows: int)
                 lists = pa.ListArray.from_arrays(
                     pa.array(offsets), pa.array(feature.astype(np.int32))
                 )
-                yield pa.record_batch({"grade": part["grade"], "features": lists})
-
-    held = texts.mapInArrow(run, "grade int, features array<int>")
-    return held.filter(F.size("features") <= SAMPLE_FEATURES)
+                found = {"key": part["key"], "grade": part["grade"], "features": lists}
+                yield pa.record_batch(found)
+
+    kind = texts.schema["key"].dataType.simpleString()
+    held = texts.mapInArrow(run, f"key {kind}, grade int, features array<int>")
+    # One row per key, however often the key comes with other texts.
+    held = held.filter(F.size("features") <= SAMPLE_FEATURES).groupBy("key")
+    return held.agg(F.min("grade").alias("grade"), F.min("features").alias("features")).drop("key")
 
 
 def graded(labels: DataFrame, key: str = "doc_id", grade: str = "toxic") -> DataFrame:

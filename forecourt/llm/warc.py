@@ -37,9 +37,10 @@ END = b"\r\n\r\n"
 
 URN = "urn:record:"
 SAMPLE_BYTES = 1 << 20  # of records a dictionary is trained on
+PIECE_BYTES = 4 << 10
 DICTIONARY_BYTES = 32 << 10
+READERS = 10_000  # tasks that read archives, at most
 ARCHIVE_BYTES = 1 << 30  # compressed; then the task starts a new archive
-BROADCAST_GROUPS = 400_000
 
 RECORD = "key string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string"
 
@@ -130,17 +131,26 @@ class Archive:
 
 
 def _dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict | None:
-    """A dictionary from the records, or None where they are too few or too small for one."""
-    sample, room = [], SAMPLE_BYTES
+    """A dictionary from pieces of the records; without records there is none.
+
+    Training needs several samples, so long records give several pieces. Where there are too few
+    bytes to train on, the pieces themselves are the dictionary.
+    """
+    pieces, room = [], SAMPLE_BYTES
+    share = max(PIECE_BYTES, SAMPLE_BYTES // max(1, len(records)))
     for data in records:
-        sample.append(data[:room])
-        room -= len(sample[-1])
+        for at in range(0, min(len(data), share, room), PIECE_BYTES):
+            pieces.append(data[at : at + PIECE_BYTES])
+            room -= len(pieces[-1])
         if room <= 0:
             break
+    if not pieces:
+        return None
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, sample, k=512, d=8)
+        return zstandard.train_dictionary(DICTIONARY_BYTES, pieces, k=512, d=8)
     except zstandard.ZstdError:
-        return None
+        content = b"".join(pieces)[-DICTIONARY_BYTES:]
+        return zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
 
 
 def write_archives(
@@ -154,7 +164,7 @@ def write_archives(
 ) -> DataFrame:
     """Write every row as a record; returns the manifest (archive, records, raw, size), staged.
 
-    A null payload is empty. Equal payloads of at least `min_bytes` form a group: its rows with the
+    A null payload is empty, a very long one is held whole by its task. Equal payloads of at least `min_bytes` form a group: its rows with the
     largest key are responses, the others revisits. Rows with a null key are responses and in
     no group. A null address is left out. An empty frame gives an empty manifest.
     """
@@ -179,9 +189,8 @@ def write_archives(
         .drop("n"),
         "payload-groups",
     )
-    if groups.count() <= BROADCAST_GROUPS:
-        groups = F.broadcast(groups)  # else payloads are shuffled, hot ones split by the skew join
-    marked = rows.join(groups, "same", "left").select(
+    # Payloads are shuffled once, unsorted; hot ones are split by the adaptive skew join.
+    marked = rows.join(groups.hint("shuffle_hash"), "same", "left").select(
         F.col("key").cast("string").alias("key"),
         "url",
         "payload",
@@ -309,5 +318,7 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
     names = [f.split()[0] for f in RECORD.split(", ")]
-    archives = manifest.select("archive").repartition("archive")
+    archives = manifest.select("archive")
+    # A task per archive: with a number of its own this shuffle is not merged, small as it is.
+    archives = archives.repartition(max(1, min(manifest.count(), READERS)), "archive")
     return archives.mapInArrow(run, RECORD + ", payload binary" * payloads)

@@ -36,15 +36,13 @@ SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+")
 
 
-def _lowered(words: list[str]) -> tuple[np.ndarray, list[str]]:
-    """Which of the distinct words returned each word is: wholly ASCII ones are lower-cased.
+def _lowered(words: pa.Array) -> pa.Array:
+    """Words that are wholly ASCII in lower case.
 
     Others stay as they are, as normalisation may compose their capitals before it lower-cases.
     """
-    array = pa.array(words, pa.string())
-    ascii_ = pc.equal(pc.binary_length(array), pc.utf8_length(array))
-    coded = pc.if_else(ascii_, pc.ascii_lower(array), array).dictionary_encode()
-    return coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+    ascii_ = pc.equal(pc.binary_length(words), pc.utf8_length(words))
+    return pc.if_else(ascii_, pc.ascii_lower(words), words)
 
 
 class WordIds:
@@ -62,8 +60,8 @@ class WordIds:
         if not self.mark:
             raise ValueError("special strings must begin alike")
         self.library = Tokenizer.from_str(vocabulary.decode())
-        self.stretches = Recent(self._spelled, size=200_000)
-        self.words = Recent(self._new, size=200_000)
+        self.stretches = Recent(self._spelled)
+        self.words = Recent(self._new)
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -98,9 +96,7 @@ class WordIds:
         special = pc.match_substring(texts, self.mark)
         plain = pc.if_else(special, "", texts)
         spaced = pc.replace_substring(plain, "\n", " ")
-        offsets, words, distinct = encoded(pc.split_pattern(spaced, " "))
-        lower, distinct = _lowered(distinct)
-        words = lower[words]
+        offsets, words, distinct = encoded(pc.split_pattern(spaced, " "), _lowered)
         each = [*self.words.answers(distinct), np.array([end_id], np.int32).tobytes()]
         rows = np.flatnonzero(special.to_numpy(zero_copy_only=False))
         each += [x.tobytes() for x in self._library([texts[int(i)].as_py() for i in rows])]

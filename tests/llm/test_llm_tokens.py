@@ -9,7 +9,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from forecourt.llm import piece_codec, token_counts
+from forecourt.llm import arrow_words, piece_codec, token_counts
 from forecourt.llm.arrow_words import Recent, slices
 from forecourt.llm.piece_bpe import PieceModel
 
@@ -78,9 +78,35 @@ def test_slices_and_the_bounded_cache():
     parts = [s["text"].to_pylist() for s in slices(batch, "text", size=20)]
     assert [t for p in parts for t in p] == batch["text"].to_pylist() and len(parts) > 1
     assert list(slices(batch.slice(0, 0), "text")) == []
+
+
+def test_cache_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(arrow_words, "STORED", 2)
     asked = []
-    cache = Recent(lambda keys: asked.extend(keys) or [k * 2 for k in keys], size=2)
+    room = 2 * arrow_words.ENTRY + 30
+    cache = Recent(lambda keys: asked.extend(keys) or [k * 2 for k in keys], room=room)
     for keys in (["a", "b"], ["b", "c"], ["a"], ["d", "e", "f", "g"], ["a"]):
         assert cache.answers(keys) == [k * 2 for k in keys]
         assert len(cache.young) <= 2 and len(cache.old) <= 2
     assert asked[:3] == ["a", "b", "c"]
+    long = "x" * (arrow_words.LONGEST + 1)
+    assert cache.answers([long]) == [long * 2] and long not in cache.young
+
+
+def test_texts_without_spaces_fill_no_memory():
+    """Twenty thousand words of 3,000 characters each, 9 KB in UTF-8."""
+    import psutil
+
+    cache = Recent(lambda keys: [k.encode() for k in keys])
+    before = psutil.Process().memory_info().rss
+    for start in range(0, 20_000, 400):
+        cache.answers([chr(0x4E00 + i % 20_000) * 3000 for i in range(start, start + 400)])
+    assert psutil.Process().memory_info().rss - before < 200 << 20
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abcdeéöß日本▁ \n", max_size=60))
+def test_merging_by_numbers_gives_the_librarys_ids(text):
+    part = "▁" + text.replace(" ", "▁")
+    model = CODEC.model
+    assert [i for p in model.parts(part) for i in model.ids(p)] == LIBRARY.encode(text) or not text

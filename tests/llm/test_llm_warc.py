@@ -48,12 +48,11 @@ def read(manifest):
     return sorted(str(tuple(r[f] for f in fields)) for r in warc.read_archives(manifest).collect())
 
 
-def test_odd_pages(spark, monkeypatch):
+def test_odd_pages(spark):
     df = pages(spark)
     rows = df.collect()
     assert read(warc.write_archives(df)) == expected(rows)
     assert read(warc.write_archives(df, min_bytes=20)) == expected(rows, 20)
-    monkeypatch.setattr(warc, "BROADCAST_GROUPS", 0)
     assert read(warc.write_archives(df.repartition(3))) == expected(rows)
     assert column(df, "a.b") is not None
 
@@ -103,3 +102,35 @@ def test_archives_end_at_their_size(spark, monkeypatch, tmp_path):
     with open(archive.uri, "rb") as file:
         found = list(warc.records(file))
     assert [f["warc-record-id"] for f, _ in found] == [f"<urn:record:{i}>" for i in range(5)]
+
+
+def dictionary_of(path):
+    data = open(path, "rb").read()
+    magic, size = struct.unpack("<II", data[:8])
+    assert magic == warc.SKIPPABLE
+    return zstandard.ZstdDecompressor().decompress(data[8 : 8 + size])
+
+
+def test_few_or_long_first_pages_have_a_dictionary_too(spark, tmp_path):
+    three = pages(spark).filter("page_id < 4").dropDuplicates(["page_id"])
+    long = pages(spark).select("page_id", "url", F.repeat(F.lit("0123456789abc "), 250_000).alias("html"))
+    many = spark.range(300).selectExpr("id + 100 as page_id", "'u' as url", "concat('<p>page ', id) as html")
+    for i, df in enumerate((three, long.limit(1).unionByName(many))):
+        manifest = warc.write_archives(df.coalesce(1), folder=f"{tmp_path}/{i}")
+        assert read(manifest) == expected(df.collect())
+        for row in manifest.collect():
+            assert dictionary_of(row.archive)
+
+
+def test_a_task_reads_an_archive(spark, tmp_path):
+    df = spark.range(400).selectExpr("id as page_id", "'u' as url", "concat('<p>page ', id) as html")
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merged, "false")
+    try:
+        manifest = warc.write_archives(df, folder=str(tmp_path))
+    finally:
+        spark.conf.unset(merged)
+    found = warc.read_archives(manifest).withColumn("task", F.spark_partition_id())
+    archives, tasks = manifest.count(), found.select("task").distinct().count()
+    assert archives > 1 and found.count() == 400
+    assert tasks > archives / 3  # dealt by hash, so some tasks get two
