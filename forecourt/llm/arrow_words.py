@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 12 << 20
 LONGEST = 256  # characters of a key that is kept
 ENTRY = 220  # bytes of a kept entry beside its letters
 ROOM = 40 << 20
@@ -47,6 +47,13 @@ def encoded(
     return (offsets - offsets[0]).astype(np.int64), numbers, distinct.to_pylist()
 
 
+def numbered(words: list[str]) -> tuple[np.ndarray, list[str]]:
+    """The words as numbers, and the distinct words."""
+    number: dict[str, int] = {}
+    found = [number.setdefault(w, len(number)) for w in words]
+    return np.array(found, np.int64), list(number)
+
+
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of the values of each text; zero for a text without words."""
     total = np.concatenate([np.zeros((1, *values.shape[1:]), values.dtype), values.cumsum(axis=0)])

@@ -28,6 +28,7 @@ MARK = "▁"
 WIDTH = 22  # bits of a symbol's number
 OUTSIDE = 1 << 21  # numbers of characters without piece begin here
 GONE = -1
+COMMON = 1024  # characters up to here, and the mark, are looked up in a table of pairs
 PLACE_BITS = 32
 PLACES = (1 << PLACE_BITS) - 1
 _SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -72,6 +73,7 @@ class PieceModel:
         self.end_id = trainer.eos_id
         self.pairs = self._pairs()
         self.linked = {p[i : i + 2] for p in self.rank for i in range(len(p) - 1)}
+        self._linked_pairs()
         self.words_end_at_spaces = not any(
             pair[1] == MARK and pair[0] != MARK for pair in self.linked
         )
@@ -79,13 +81,15 @@ class PieceModel:
             raise ValueError("pieces that span words are not supported")
         self.library = sentencepiece.SentencePieceProcessor(model_proto=proto)
 
-    def _pairs(self) -> dict[int, tuple[int, int]]:
-        """For two symbols (as one number) that form a piece: its place on the agenda, and it.
+    def _pairs(self) -> dict[int, int]:
+        """For two symbols (as one number) that form a piece: its place on the agenda.
 
         A symbol is a piece or a single character; characters without piece have numbers of their own.
+        Pieces of equal scores share a place. Which piece is formed stands in `formed`.
         """
-        order = {s: i for i, s in enumerate(sorted(set(self.rank.values())))}
+        order = {score: i for i, score in enumerate(sorted(set(self.rank.values())))}
         self.symbol = {p: i for p, i in self.id.items() if len(p) == 1}
+        self.formed: dict[int, int] = {}
 
         def number(text: str) -> int | None:
             if text in self.id:
@@ -97,31 +101,61 @@ class PieceModel:
             for cut in range(1, len(piece)):
                 left, right = number(piece[:cut]), number(piece[cut:])
                 if left is not None and right is not None:
-                    found[left << WIDTH | right] = (order[self.rank[piece]] << PLACE_BITS, i)
+                    found[left << WIDTH | right] = order[self.rank[piece]] << PLACE_BITS
+                    self.formed[left << WIDTH | right] = i
         return found
 
-    def parts(self, segment: str) -> list[str]:
-        """Cut a segment wherever its neighbouring characters share no piece."""
-        linked, start, found = self.linked, 0, []
-        for i in range(1, len(segment)):
-            if segment[i - 1 : i + 1] not in linked:
-                found.append(segment[start:i])
-                start = i
-        found.append(segment[start:])
-        return found
+    def _linked_pairs(self) -> None:
+        """Which pairs of characters stand side by side in a piece: a table for the common ones,
+        and all of them as sorted numbers."""
+        pairs = np.array(sorted(ord(p[0]) << WIDTH | ord(p[1]) for p in self.linked), np.int64)
+        self.link_numbers = np.append(pairs, np.int64(-1) & np.int64((1 << 62) - 1))
+        self.link_table = np.zeros((COMMON, COMMON), bool)
+        for p in self.linked:
+            a, b = self._common(ord(p[0])), self._common(ord(p[1]))
+            if a is not None and b is not None:
+                self.link_table[a, b] = True
+
+    @staticmethod
+    def _common(code: int) -> int | None:
+        if code == ord(MARK):
+            return COMMON - 1
+        return code if code < COMMON - 1 else None
+
+    def parts_of(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The words, each with a mark in front, cut wherever neighbouring characters share no piece:
+        all parts in a row, and each word's first one (and the end)."""
+        marked = [MARK + w.replace(" ", MARK) for w in words]
+        whole = "".join(marked)
+        code = np.frombuffer(whole.encode("utf-32-le"), np.uint32).astype(np.int64)
+        short = np.where(code == ord(MARK), COMMON - 1, code)
+        common = short < COMMON
+        common[code == COMMON - 1] = False
+        linked = self.link_table[np.where(common, short, 0)[:-1], np.where(common, short, 0)[1:]]
+        rare = np.flatnonzero(~(common[:-1] & common[1:]))
+        number = code[rare] << WIDTH | code[rare + 1]
+        linked[rare] = self.link_numbers[np.searchsorted(self.link_numbers, number)] == number
+        heads = np.cumsum([0, *map(len, marked)])
+        begins = np.ones(len(code) + 1, bool)
+        begins[1:-1] = ~linked
+        begins[heads] = True
+        at = np.flatnonzero(begins)
+        first = np.searchsorted(at, heads)
+        at = at.tolist()
+        return [whole[a:b] for a, b in zip(at, at[1:])], first
 
     def merged(self, part: str) -> tuple[list[int], int]:
         """The symbols that remain when the agenda is empty, and how many merges it took."""
         symbol, pairs = self.symbol.get, self.pairs.get
         symbols = [symbol(c) or OUTSIDE + ord(c) for c in part]
-        n = len(symbols)
-        agenda = []
-        for i in range(n - 1):
-            pair = pairs(symbols[i] << WIDTH | symbols[i + 1])
-            if pair is not None:
-                agenda.append(pair[0] | i)
+        agenda = [
+            place | i
+            for i, (left, right) in enumerate(zip(symbols, symbols[1:]))
+            if (place := pairs(left << WIDTH | right)) is not None
+        ]
         if not agenda:
             return symbols, 0
+        n, formed = len(symbols), self.formed
         heapify(agenda)
         after, before, merges = list(range(1, n + 1)), list(range(-1, n - 1)), 0
         while agenda:
@@ -130,23 +164,23 @@ class PieceModel:
             j, left = after[i], symbols[i]
             if left < 0 or j >= n:
                 continue
-            pair = pairs(left << WIDTH | symbols[j])
-            if pair is None or pair[0] != entry - i:  # one of the two has changed meanwhile
+            both = left << WIDTH | symbols[j]
+            if pairs(both) != entry - i:  # one of the two has changed meanwhile
                 continue
-            left = symbols[i] = pair[1]
+            left = symbols[i] = formed[both]
             symbols[j] = GONE
             merges += 1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                pair = pairs(left << WIDTH | symbols[k])
-                if pair is not None:
-                    heappush(agenda, pair[0] | i)
+                place = pairs(left << WIDTH | symbols[k])
+                if place is not None:
+                    heappush(agenda, place | i)
             h = before[i]
             if h >= 0:
-                pair = pairs(symbols[h] << WIDTH | left)
-                if pair is not None:
-                    heappush(agenda, pair[0] | h)
+                place = pairs(symbols[h] << WIDTH | left)
+                if place is not None:
+                    heappush(agenda, place | h)
         return [s for s in symbols if s >= 0], merges
 
     def count(self, part: str) -> int:

@@ -1,12 +1,14 @@
 """Encode texts to piece ids and decode ids to texts, for merge-type vocabularies.
 
 Words are encoded once per Arrow slice by the score-ordered agenda; each new
-word's ids and its decoded text are compared with the sentencepiece library, and a
+word's ids are compared with the sentencepiece library's, and it must come back from them. Pieces'
+texts are compared with the library's once, and words with bytes for a character each. A
 difference ends the task. Ids of whole texts are put together from the words' ids.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,9 +17,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.arrow_words import Recent, encoded, held, joined, slices
+from forecourt.llm.arrow_words import Recent, encoded, held, joined, numbered, slices
 from forecourt.llm.frames import column, text_or_empty
-from forecourt.llm.piece_bpe import MARK, PieceModel, segments
+from forecourt.llm.piece_bpe import PieceModel, segments
 
 def _codec(proto: bytes) -> Codec:
     return held(("codec", hash(proto)), lambda: Codec(PieceModel(proto)))
@@ -26,29 +28,43 @@ def _codec(proto: bytes) -> Codec:
 class Codec:
     def __init__(self, model: PieceModel):
         self.model = model
-        self.parts = Recent(lambda new: [model.ids(p) for p in new])
+        self.parts = Recent(lambda new: [array("i", model.ids(p)).tobytes() for p in new])
         self.words = Recent(self._encode_new)
         self.pieces = pa.array(model.bytes_of, pa.binary())
         self.spaced = np.array([*model.marked, False])
+        self.bytes = np.zeros(len(self.spaced), bool)
+        self.bytes[model.byte_id] = True
+        self._spelled()
+
+    def _spelled(self) -> None:
+        """Compare each piece's text with the library's: a text of ordinary pieces is theirs in a row."""
+        model = self.model
+        pieces = list(model.id.values())
+        ours = [model.bytes_of[i].decode()[int(model.marked[i]) :] for i in pieces]
+        if ours != model.library.decode([[i] for i in pieces]):
+            raise RuntimeError("pieces are spelled otherwise by the sentencepiece library")
 
     def _encode_new(self, words: list[str]) -> list[bytes]:
         if not words:
             return []
-        cut = [self.model.parts(MARK + w.replace(" ", MARK)) for w in words]
-        known = list(dict.fromkeys(p for c in cut for p in c))
-        ids = dict(zip(known, self.parts.answers(known), strict=True))
-        found = [[i for p in c for i in ids[p]] for c in cut]
+        cut, first = self.model.parts_of(words)
+        numbers, known = numbered(cut)
+        lists = joined(self.parts.answers(known), numbers, first)
         # A lone mark (the empty word) is no text that the library could be given.
         texts = [w for w in words if w]
-        ours = [x for x, w in zip(found, words, strict=True) if w]
+        ours = [x for x, w in zip(lists.to_pylist(), words, strict=True) if w]
         if ours != self.model.library.encode(texts, num_threads=1):
             raise RuntimeError("ids differ from those of the sentencepiece library")
-        row = [i for x in ours for i in x]
-        if self.decode(pa.array([row], pa.list_(pa.int32())))[0].as_py() != (
-            self.model.library.decode(row)
-        ):
+        # Every word must come back; those with bytes for a character as the library decodes them.
+        if not self.decode(lists).equals(pa.array(words, pa.string())):
+            raise RuntimeError("words do not come back from their ids")
+        offsets, ids = lists.offsets.to_numpy(), lists.flatten().to_numpy()
+        odd = np.searchsorted(offsets, np.flatnonzero(self.bytes[ids]), side="right") - 1
+        spelled = [words[i] for i in np.unique(odd).tolist()]
+        if spelled and spelled != self.model.library.decode(self.model.library.encode(spelled)):
             raise RuntimeError("decoded texts differ from those of the sentencepiece library")
-        return [np.array(x, np.int32).tobytes() for x in found]
+        raw, at = ids.tobytes(), (offsets * 4).tolist()
+        return [raw[a:b] for a, b in zip(at, at[1:])]
 
     def encode(self, texts: pa.Array, end: bool) -> pa.ListArray:
         """Ids of each text, with the end id if `end`; no nulls in `texts`."""

@@ -14,9 +14,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.arrow_words import Recent, encoded, held, slices, sums
+from forecourt.llm.arrow_words import Recent, encoded, held, numbered, slices, sums
 from forecourt.llm.frames import column, text_or_empty
-from forecourt.llm.piece_bpe import MARK, PieceModel, segments
+from forecourt.llm.piece_bpe import PieceModel, segments
 
 def _counter(proto: bytes) -> Recent:
     """Counts of segments."""
@@ -24,10 +24,12 @@ def _counter(proto: bytes) -> Recent:
     parts = Recent(lambda new: [model.count(p) for p in new])
 
     def fill(words: list[str]) -> list[int]:
-        cut = [model.parts(MARK + w.replace(" ", MARK)) for w in words]
-        known = list(dict.fromkeys(p for c in cut for p in c))
-        count = dict(zip(known, parts.answers(known), strict=True))
-        return [sum(count[p] for p in c) for c in cut]
+        if not words:
+            return []
+        cut, first = model.parts_of(words)
+        numbers, known = numbered(cut)
+        each = np.array(parts.answers(known), np.int64)
+        return sums(each[numbers], first).tolist()
 
     return Recent(fill)
 
