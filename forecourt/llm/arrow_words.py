@@ -13,10 +13,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 6 << 20
 LONGEST = 256  # characters of a key that is kept
 ENTRY = 220  # bytes of a kept entry beside its letters
-ROOM = 40 << 20
+ROOM = 24 << 20
 STORED = 4096  # entries at once
 
 

@@ -96,6 +96,8 @@ class WordIds:
         special = pc.match_substring(texts, self.mark)
         plain = pc.if_else(special, "", texts)
         spaced = pc.replace_substring(plain, "\n", " ")
+        # A mark between a letter and a space is a stretch of its own: most words come with and without.
+        spaced = pc.replace_substring_regex(spaced, "([A-Za-z])([.,;:!?]) ", "\\1 \\2 ")
         offsets, words, distinct = encoded(pc.split_pattern(spaced, " "), _lowered)
         each = [*self.words.answers(distinct), np.array([end_id], np.int32).tobytes()]
         rows = np.flatnonzero(special.to_numpy(zero_copy_only=False))
