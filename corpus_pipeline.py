@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from forecourt.llm import langid, packing, simhash, stream_dedup, toxicity
 from forecourt.llm.frames import column, free_name
 from forecourt.llm.queries import tokenizer_path
-from forecourt.staging import ready, stage
+from forecourt.staging import new_path, ready, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -68,26 +68,37 @@ def _keep(docs: DataFrame, kept: DataFrame) -> DataFrame:
     )
 
 
-def _path(docs: DataFrame) -> str:
-    """The folder (or single file) a table was read from."""
-    files = sorted(docs.inputFiles())
-    return files[0] if len(files) == 1 else files[0].rpartition("/")[0]
-
-
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, the one with the largest identifier."""
+    """One document of each group of equal texts, the one with the largest identifier.
+
+    Null and empty texts are equal. A null identifier is smaller than any other; of rows that share one, the
+    later file or row stays. Texts are staged with their places first, so the stream meets the
+    same files however the table is laid out in folders. An empty table stays empty.
+    """
     if docs.isEmpty():
         return docs
-    found = stream_dedup.dedup(spark, _path(docs))
-    kept = found.filter(F.col("row") == F.col("keep")).select("row.file", "row.row")
-    return _keep(docs, kept)
+    path = new_path(spark, "texts")
+    place = F.struct(
+        F.col("doc_id").alias("id"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("row"),
+    )
+    docs.select(place.alias("place"), "text").write.parquet(path)
+    found = stream_dedup.dedup(spark, path, key="place")
+    kept = found.filter(F.col("row") == F.col("keep"))
+    return _keep(docs, kept.select("row.key.file", "row.key.row"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest identifier."""
+    """One document of each group of near duplicates, the one with the smallest identifier.
+
+    A null identifier is larger than any other; of rows that share one, the earlier file or row
+    stays. Texts without words are near duplicates of each other. An empty table stays empty.
+    """
     if docs.isEmpty():
         return docs
     key = F.struct(
+        F.col("doc_id").isNull().alias("unknown"),
         F.col("doc_id").alias("id"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("row"),
@@ -98,7 +109,11 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents that are left, in sequences of at most 4096 ids."""
+    """The pieces of all documents that are left, in sequences of at most 4096 ids.
+
+    A null or empty text is one piece, its end id; a long text is cut into several. Repeated rows
+    are packed each by itself. An empty table gives no pieces.
+    """
     pieces = packing.tokenized_pieces(docs, tokenizer_path("word_bpe_49k.json"))
     return packing.pack(pieces).withColumnRenamed("key", "doc_id")
 
