@@ -11,9 +11,13 @@ from datetime import date, timedelta
 from forecourt.functions.rules import MIN_NS
 from verification.queries import (
     AS_OF,
+    CORRECTION,
+    CORRECTION_DAYS,
     DAYS,
     DIMENSIONS,
     FIT_END,
+    LATE_DAYS,
+    RECONCILE_DAYS,
     SHORT_MEASURES,
     STUDY_DAYS,
     STUDY_START,
@@ -102,6 +106,9 @@ def from_facts(columns: str, days: int = 121) -> str:
 
 # --- metric tables ---------------------------------------------------------------
 
+# Market radii in miles.
+BANDS = (25, 50, 100, 250)
+
 SOLD_STATE = "case when sold_flg then 1 when not sold_flg then 0 else -1 end"
 
 
@@ -243,6 +250,137 @@ def wide_daily() -> str:
         join nation_ on own.style_id = nation_.style_id"""
 
 
+def metric_matrix_bands() -> str:
+    parts = []
+    for b in (*BANDS, "nationwide"):
+        source = "facts" if b == "nationwide" else f"(select * from markets where distance <= {b})"
+        centre = "'nationwide'" if b == "nationwide" else "zip"
+        for dim, key in (("zip", centre), ("zip_style", f"{centre} || '*' || style_id::varchar")):
+            for m in SHORT_MEASURES.values():
+                keys = {"band": f"'{b}'", "dim": f"'{dim}'", '"key"': key, "measure": f"'{m}'"}
+                parts.append(measured(keys, m, source, DAYS))
+    keys = ["band", "dim", '"key"', "measure"]
+    ctes = with_ctes(facts(), judged_ctes(" union all ".join(parts), keys))
+    by = ", ".join(keys)
+    return f"{ctes} select {by}, {named(all_metrics(DAYS))} from judged group by {by}"
+
+
+def wide_metrics() -> str:
+    windows = {
+        "today": ("today_snapshot", 1),
+        "45_day": ("snapshot_45", 45),
+        "60_day": ("snapshot_60", 60),
+        "90_day": ("snapshot_90", 90),
+    }
+    kinds = {"own": ("dealer",), "near": tuple(f"{b}_mile_market" for b in BANDS), "nation_": ("nationwide",)}
+    states = {"sold": "sold_flg", "lstd": "not sold_flg"}
+    sources = {"dealer": ("facts", "dealer_id::varchar"), "nationwide": ("facts", "''")} | {
+        f"{b}_mile_market": (f"(select * from markets where distance <= {b})", "zip") for b in BANDS
+    }
+    counted = {}
+    for kind, scopes in kinds.items():
+        columns = []
+        for scope in scopes:
+            near = f" and distance <= {scope.split('_')[0]}" if kind == "near" else ""
+            for w, (snapshot, days) in windows.items():
+                inside = f"{snapshot} = 1{near}"
+                since = f"vin_frst_dt > {TODAY} - {days + 1}"
+                if w == "today":
+                    since += f" and vin_frst_dt < {TODAY}"
+                flags = {**states, "moved_on": since}
+                columns += [
+                    f'count(*) filter (where {inside} and {f}) as "cars_{n}_{scope}_{w}"'
+                    for n, f in flags.items()
+                ]
+                sold, lstd = (f"count(*) filter (where {inside} and {f})" for f in states.values())
+                columns.append(
+                    f"cast(ceil({lstd} / nullif(case when {sold} >= 3 then {sold} else 0 end"
+                    f' / {float(days)}, 0)) as bigint) as "days_supply_{scope}_{w}"'
+                )
+        counted[kind] = ", ".join(columns)
+    rows = " union all ".join(
+        f"""select '{scope}' as scope, '{w}' as win, {key} as place, style_id, '{m}' as measure,
+          {SOLD_STATE} as sold, cast({m} as decimal(12,2)) as x
+        from {source} where {m} > 0 and {snapshot} = 1"""
+        for scope, (source, key) in sources.items()
+        for w, (snapshot, _) in windows.items()
+        for m in SHORT_MEASURES.values()
+    )
+    picked = {
+        kind: ", ".join(
+            f"max({statistic}) filter (where scope = '{scope}' and win = '{w}' and measure = '{m}')"
+            f' as "{statistic.split("_")[0]}_{m}_{statistic.split("_")[1]}_{scope}_{w}"'
+            for scope in scopes
+            for w in windows
+            for m in SHORT_MEASURES.values()
+            for statistic in {**TRIMMED, **MEDIANS}
+        )
+        for kind, scopes in kinds.items()
+    }
+    by = ["scope", "win", "place", "style_id", "measure"]
+    pivots = ", ".join(
+        f"""{kind}_stats as (select place, style_id, {columns} from stats
+          where scope in ({", ".join(f"'{s}'" for s in kinds[kind])}) group by all)"""
+        for kind, columns in picked.items()
+    )
+    return f"""{with_ctes(facts(), judged_ctes(rows, by))},
+      stats as (select {", ".join(by)}, {named({**TRIMMED, **MEDIANS})} from judged group by all),
+      {pivots},
+      own as (select dealer_id, style_id, zip, {counted["own"]} from facts
+        where snapshot_90 = 1 group by all),
+      near as (select zip, style_id, {counted["near"]} from markets
+        where snapshot_90 = 1 and distance <= 250 group by all),
+      nation_ as (select style_id, {counted["nation_"]} from facts where snapshot_90 = 1 group by all)
+      select {TODAY} as calendar_date, own.* exclude (zip), near.* exclude (zip, style_id),
+        nation_.* exclude (style_id), own_stats.* exclude (place, style_id),
+        near_stats.* exclude (place, style_id), nation__stats.* exclude (place, style_id)
+      from own left join near on own.zip = near.zip and own.style_id = near.style_id
+        join nation_ on own.style_id = nation_.style_id
+        left join own_stats on own.dealer_id::varchar = own_stats.place and own.style_id = own_stats.style_id
+        left join near_stats on own.zip = near_stats.place and own.style_id = near_stats.style_id
+        left join nation__stats on own.style_id = nation__stats.style_id"""
+
+
+def published_tables() -> str:
+    metrics = ", ".join(all_metrics(DAYS))
+    return f"""select measure || '_' || dim || '_{DAYS}' as table_name, "key", {metrics}
+      from ({matrix(list(DIMENSIONS.values()))})"""
+
+
+def matrix_refreshed() -> str:
+    """The full build from the records that are known at the end."""
+    late = f"case when vin::bigint % 7 = 0 then {LATE_DAYS} else 0 end"
+    known = f"""
+posted as (
+  select * replace (true as latest_record_flg), vin_last_dt + {late} as posted from hist
+  union all
+  select * replace (true as latest_record_flg, cast(price + {CORRECTION} as decimal(12,2)) as price),
+    vin_last_dt + {late} + {CORRECTION_DAYS} from hist where vin::bigint % 11 = 0),
+known as (
+  select * from posted where posted <= {TODAY} and vin::bigint % 13 <> 0
+  qualify row_number() over (partition by vin order by vin_last_dt desc, posted desc, dealer_id desc,
+    vin_frst_dt desc, sold_flg desc, price desc, mileage desc) = 1)"""
+    whole = matrix(list(DIMENSIONS.values()))
+    return whole.replace("\nfacts as (", f"{known},\nfacts as (", 1).replace("from hist h", "from known h", 1)
+
+
+def reconcile_buckets() -> str:
+    shift = timedelta(days=RECONCILE_DAYS)
+
+    def build(start: date, end: date) -> str:
+        rows = study_select(STYLE["known"], start, end)
+        return f"select style_id, cast(sum(price * 100) as bigint) as x from ({rows}) group by style_id"
+
+    first, second = build(STUDY_START, AS_OF - shift), build(STUDY_START + shift, AS_OF)
+    return f"""{with_ctes(f"a as ({first})", f"b as ({second})")}
+      select count(*) filter (where a.style_id is not null and b.style_id is not null) as in_both,
+        count(*) filter (where b.style_id is null) as only_in_a,
+        count(*) filter (where a.style_id is null) as only_in_b,
+        count(*) filter (where a.style_id is not null and b.style_id is not null and a.x <> b.x) as n_differ,
+        min(a.x - b.x) as min_diff, max(a.x - b.x) as max_diff
+      from a full join b on a.style_id = b.style_id"""
+
+
 # --- outlier study ---------------------------------------------------------------
 
 STYLE = {
@@ -549,7 +687,19 @@ def all_oracles() -> dict[str, str]:
     )
     found["metric_matrix_long"] = matrix(list(DIMENSIONS.values()))
     found["wide_daily"] = wide_daily()
+    found["metric_matrix_bands"] = metric_matrix_bands()
+    found["wide_daily_metrics"] = wide_metrics()
     found["publish"] = published()
+    found |= {
+        "published_tables": published_tables(),
+        "market_ensured": f"""{with_ctes(facts())} select {MARKET_COLUMNS}, 3::int as n_builds
+          from markets where distance <= 100""",
+        "metric_statement": metric("dealer_id", "mileage"),
+        "matrix_refreshed": matrix_refreshed(),
+        "bucketed_listing_fact": from_facts(FACT_COLUMNS),
+        "footer_freshness": f"{with_ctes()} select max(vin_last_dt) as latest from hist",
+        "reconcile_buckets": reconcile_buckets(),
+    }
     for name in KEPT:
         for t in MIN_NS:
             found[f"out_{name}_{t}"] = rule_table(name, t)

@@ -21,8 +21,10 @@ from forecourt.operators.listing import (
     with_ymm_key,
 )
 from forecourt.operators.study import base_stats, described, dispersion
-from forecourt.plans import daily
+from forecourt.plans import daily, publish, refresh, statements
 from forecourt.plans import evaluation as ev
+from forecourt.plans import markets as bands
+from forecourt.sources import bucketed
 from forecourt.sources.schemas import Inputs
 from forecourt.sources.tpch import inputs as derived_inputs
 from forecourt.sources.tpch import staged_inputs
@@ -185,6 +187,124 @@ def _published(spark: SparkSession, sf: str) -> DataFrame:
     return daily.published(spark, path, AS_OF)
 
 
+def _published_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Publish two days, leave a third run uncommitted, commit an older day late; read all 36 tables."""
+    root = new_path(spark, "published")
+    inputs = staged_inputs(spark, sf)
+    day_before = AS_OF - timedelta(days=1)
+    publish.create_tables(spark, root, DAYS)
+    early = stage(daily.metric_matrix(inputs, day_before, DAYS), "matrix")
+    publish.publish_tables(early, root, day_before)
+    publish.publish_tables(daily.metric_matrix(inputs, AS_OF, DAYS), root, AS_OF)
+    publish.write_run(early, root, AS_OF)  # a run that never got to its commit
+    publish.publish_tables(early, root, day_before - timedelta(days=1))
+    found = None
+    for name, measure, dim in publish.tables(DAYS):
+        columns = [
+            F.col(publish.published_name(m, dim, measure)).alias(m) for m in publish.METRICS
+        ]
+        key = F.col(dim).cast("string").alias("key")
+        table = spark.table(name).select(F.lit(name).alias("table_name"), key, *columns)
+        found = table if found is None else found.unionByName(table)
+    return found
+
+
+def _market_ensured(spark: SparkSession, sf: str) -> DataFrame:
+    """The market's cars as a table: built for the day before, again for the day, not again for
+    the same day and inputs, but once more when the inputs have changed."""
+    inputs = staged_inputs(spark, sf)
+    folder = new_path(spark, "market-tables")
+    version = publish.input_version(inputs.hist, inputs.vins, inputs.dealers, inputs.zipdist)
+    built = 0
+    for day, files in (
+        (AS_OF - timedelta(days=1), version),
+        (AS_OF, version),
+        (AS_OF, version),
+        (AS_OF, f"{version}, changed"),
+    ):
+
+        def build(day: date = day) -> DataFrame:
+            facts = stage(
+                listing_fact(inputs.hist, inputs.dealers, inputs.vins, day), "market-listings"
+            )
+            return market.market_fact(facts, inputs.zipdist)
+
+        table, new = publish.ensure_current(spark, "market_listings", folder, build, day, files)
+        built += new
+    return _doubles(table).withColumn("n_builds", F.lit(built))
+
+
+def _metric_statement(spark: SparkSession, sf: str) -> DataFrame:
+    _facts(staged_inputs(spark, sf)).createOrReplaceTempView("listing_facts")
+    found = statements.metric_table(
+        spark, "listing_facts", "dealer_id", "mileage", AS_OF, DAYS
+    )
+    return found.withColumnRenamed("key", "dealer_id")
+
+
+#: How the refreshed state's records come in: days late, days until a price is corrected.
+LATE_DAYS, CORRECTION_DAYS, CORRECTION, REFRESHES = 2, 3, 100, 3
+
+
+def _matrix_refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    """A state of three days ago and three refreshes: every seventh car's records come late, every
+    eleventh car's price is corrected, and every thirteenth car vanishes on the last day."""
+    inputs = staged_inputs(spark, sf)
+    number = F.col("vin").cast("long")
+    late = F.when(number % 7 == 0, LATE_DAYS).otherwise(0)
+    original = inputs.hist.withColumn("latest_record_flg", F.lit(True)).withColumn(
+        "posted", F.date_add("vin_last_dt", late)
+    )
+    corrected = original.filter(number % 11 == 0).withColumns(
+        {
+            "price": (F.col("price") + CORRECTION).cast(X.MONEY),
+            "posted": F.date_add("posted", CORRECTION_DAYS),
+        }
+    )
+    records = original.unionByName(corrected)
+    root = new_path(spark, "refreshed")
+    first = AS_OF - timedelta(days=REFRESHES)
+    known = records.filter(F.col("posted") <= X.as_date(first)).drop("posted")
+    refresh.start(spark, root, inputs, known, first, DAYS)
+    for n in range(1, REFRESHES + 1):
+        day = first + timedelta(days=n)
+        new = records.filter(F.col("posted") == X.as_date(day)).drop("posted")
+        gone = inputs.hist.filter(number % 13 == 0).select("vin") if day == AS_OF else None
+        refresh.refresh(spark, root, inputs, new, day, gone)
+        if n == 2:
+            refresh.compact(spark, root)
+    return refresh.matrix(spark, root, inputs.zipdist)
+
+
+def _bucketed_fact(spark: SparkSession, sf: str) -> DataFrame:
+    inputs = staged_inputs(spark, sf)
+    names = bucketed.write_bucketed(inputs, new_path(spark, "bucketed"), BUCKETS)
+    return _doubles(bucketed.bucketed_listing_fact(spark, names, inputs.dealers, AS_OF))
+
+
+def _footer_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "history")
+    staged_inputs(spark, sf).hist.write.parquet(path)
+    return checks.latest_from_footers(spark, path)
+
+
+def _reconcile_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices per style of two builds whose windows overlap, compared by checksums first."""
+    inputs = staged_inputs(spark, sf)
+    shift = timedelta(days=RECONCILE_DAYS)
+
+    def build(start: date, end: date) -> DataFrame:
+        rows = study_rows(inputs.hist, inputs.dealers, inputs.vins, start, end)
+        return rows.select("style_id", *X.named({"x": X.hundredths("price")}))
+
+    first, second = build(STUDY_START, AS_OF - shift), build(STUDY_START + shift, AS_OF)
+    return checks.reconcile_buckets(first, second, ["style_id"], "x", buckets=64)
+
+
+BUCKETS = 8
+RECONCILE_DAYS = 720
+
+
 def _rule(name: str, min_n: int) -> Query:
     return lambda spark, sf: ev.rule_table(
         staged_inputs(spark, sf), ev.STYLE, name, min_n, STUDY_START, AS_OF
@@ -335,7 +455,22 @@ def all_queries() -> dict[str, Query]:
         staged_inputs(spark, sf), AS_OF, DAYS
     )
     found["wide_daily"] = lambda spark, sf: daily.wide_daily(staged_inputs(spark, sf), AS_OF)
+    found["metric_matrix_bands"] = lambda spark, sf: bands.metric_matrix_bands(
+        staged_inputs(spark, sf), AS_OF, DAYS
+    )
+    found["wide_daily_metrics"] = lambda spark, sf: bands.wide_metrics(
+        staged_inputs(spark, sf), AS_OF
+    )
     found["publish"] = _published
+    found |= {
+        "published_tables": _published_tables,
+        "market_ensured": _market_ensured,
+        "metric_statement": _metric_statement,
+        "matrix_refreshed": _matrix_refreshed,
+        "bucketed_listing_fact": _bucketed_fact,
+        "footer_freshness": _footer_freshness,
+        "reconcile_buckets": _reconcile_buckets,
+    }
     for name in RULES:
         for t in MIN_NS:
             found[f"out_{name}_{t}"] = _rule(name, t)
