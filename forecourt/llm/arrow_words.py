@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 SLICE_BYTES = 6 << 20
 LONGEST = 256  # characters of a key that is kept
 ENTRY = 220  # bytes of a kept entry beside its letters
-ROOM = 24 << 20
+ROOM = 48 << 20
 STORED = 4096  # entries at once
 
 

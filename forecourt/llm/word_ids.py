@@ -1,8 +1,9 @@
 """Token ids of a vocabulary that drops white space, each distinct word encoded once per slice.
 
 Such a vocabulary's tokens never span white space, so a text's ids are those of its words.
-New ASCII words are split as the vocabulary says and given to the tokenizers library's model; its
-steps before that change nothing in lower-case ASCII. Other new words go through the whole
+New words of characters below U+0100 are split as the vocabulary says and given to the tokenizers
+library's model; its steps before that only lower-case them, as no two of these characters compose
+and each has one lower-case form below U+0100. Other new words go through the whole
 library as one text with a special token between them, as every stretch between special tokens is
 encoded on its own. Texts that hold the start of a special string go to the library whole.
 """
@@ -32,8 +33,11 @@ NORMALIZER = {
 }
 SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
-# The same splitting where there is lower-case ASCII only.
-_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+")
+# The same splitting for printable characters below U+0100 in lower case: letters are a to z, three
+# signs, and ß to ÿ but ÷; numbers are digits, superscripts and fractions.
+_LETTER, _NUMBER = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
+_SHORT = re.compile("[!-~¡-¬®-ÿ]*")
+_PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_LETTER}{_NUMBER}]+")
 
 
 def _lowered(words: pa.Array) -> pa.Array:
@@ -68,12 +72,12 @@ class WordIds:
         return [np.array(e.ids, np.int32) for e in found]
 
     def _spelled(self, stretches: list[str]) -> list[bytes]:
-        """Ids of stretches of lower-case ASCII letters, or a digit, or other characters."""
+        """Ids of stretches of lower-case letters, or a number, or other characters."""
         spell = self.library.model.tokenize
         return [np.array([t.id for t in spell(s)], np.int32).tobytes() for s in stretches]
 
     def _new(self, words: list[str]) -> list[bytes]:
-        split = {w: _ASCII.findall(w) for w in words if w.isascii() and w.isprintable()}
+        split = {w: _PLAIN.findall(w.lower()) for w in words if _SHORT.fullmatch(w)}
         stretches = list(dict.fromkeys(s for parts in split.values() for s in parts))
         ids = dict(zip(stretches, self.stretches.answers(stretches), strict=True))
         found = {w: b"".join([ids[s] for s in parts]) for w, parts in split.items()}

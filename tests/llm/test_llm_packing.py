@@ -27,6 +27,7 @@ def library_ids(texts):
     st.lists(
         st.text(st.characters(exclude_categories=["Cs"]))
         | st.text("ABab '1,.\n\t \x1c\x85")
+        | st.text(st.characters(max_codepoint=255))
         | st.sampled_from(["it's 'LL", "a<|endoftext|>b", "<|ENDOFTEXT|>", "<|"]),
         min_size=1,
         max_size=5,
