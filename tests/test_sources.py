@@ -1,5 +1,6 @@
 """Readers, staging and publication."""
 
+import re
 from datetime import date
 
 import pytest
@@ -95,3 +96,86 @@ def test_derived_tables_have_the_declared_columns(spark):
 def test_part_types_are_numbered_by_name(spark):
     part = spark.createDataFrame([("B",), ("C",), ("A",), ("B",)], "p_type string")
     assert sorted(map(tuple, tpch._models(part).collect())) == [(1, "A"), (2, "B"), (3, "C")]
+
+
+@pytest.mark.parametrize("low, high, parts", [(1, 100, 8), (5, 7, 8), (-3, 3, 2), (0, 10**12, 32), (4, 4, 8), (None, None, 8), (1, 9, 1)])
+def test_ranges_divide_all_rows(spark, low, high, parts):
+    conditions = tables.range_predicates("id", low, high, parts)
+    values = [None, -(10**13), 10**13, -1, 0, 1, 2, 5, 6, 7, 50, 99, 100, 10**6, 10**12 - 1]
+    df = spark.createDataFrame([(v,) for v in values], "id long")
+    hits = [r[0] for c in conditions for r in df.filter(c).collect()]
+    assert sorted(map(str, hits)) == sorted(map(str, values))
+    assert len(conditions) <= max(1, parts)
+
+
+def test_distances_divide_all_pairs(spark):
+    conditions = tables.distance_predicates(8)
+    values = [None, -1.0, 0.0, 24.9, 88.388, 125.0, 249.0, 250.0, 900.0]
+    df = spark.createDataFrame([(v,) for v in values], "distance double")
+    hits = [r[0] for c in conditions for r in df.filter(c).collect()]
+    assert sorted(map(str, hits)) == sorted(map(str, values)) and len(conditions) == 8
+
+
+def test_bucketed_tables_join_without_moving_rows(spark, tmp_path):
+    from forecourt.operators.listing import listing_fact
+    from forecourt.sources import bucketed
+
+    inputs = tpch.staged_inputs(spark, SF)
+    names = bucketed.write_bucketed(inputs, str(tmp_path), 4, prefix="tested_")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        fact = bucketed.bucketed_listing_fact(spark, names, inputs.dealers, AS_OF)
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(str, fact.collect()))
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+        for name in names.values():
+            spark.sql(f"drop table {name}")
+    want = listing_fact(inputs.hist, inputs.dealers, inputs.vins, AS_OF)
+    assert got == sorted(map(str, want.select(fact.columns).collect()))
+    lines = plan.splitlines()
+    depth = [re.search(r"[A-Za-z*]", line).start() if line.strip() else 0 for line in lines]
+    (at,) = (i for i, line in enumerate(lines) if "SortMergeJoin [vin#" in line)
+    below = next((i for i in range(at + 1, len(lines)) if depth[i] <= depth[at]), len(lines))
+    decode = lines[at:below]
+    assert not any("Exchange" in line for line in decode)
+    assert sum("Bucketed: true" in line for line in decode) == 2
+
+
+def test_freshness_reads_no_column(spark, tmp_path):
+    from forecourt.operators import checks
+
+    inputs = tpch.staged_inputs(spark, SF)
+    path = str(tmp_path / "hist")
+    inputs.hist.write.parquet(path)
+    before = {k: spark.conf.get(k, None) for k in checks.FOOTERS}
+    latest = checks.latest_from_footers(spark, path).first().latest
+    assert latest == inputs.hist.agg(F.max("vin_last_dt")).first()[0]
+    assert {k: spark.conf.get(k, None) for k in checks.FOOTERS} == before
+    for k, v in checks.FOOTERS.items():
+        spark.conf.set(k, v)
+    try:
+        plan = spark.read.parquet(path).agg(F.max("vin_last_dt"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in checks.FOOTERS:
+            spark.conf.unset(k)
+    assert "PushedAggregation: [MAX(vin_last_dt)]" in plan
+    spark.createDataFrame([], "vin_last_dt date").write.parquet(str(tmp_path / "none"))
+    assert checks.latest_from_footers(spark, str(tmp_path / "none")).first().latest is None
+
+
+def test_builds_are_compared_by_checksum(spark):
+    from forecourt.operators import checks
+
+    a = spark.createDataFrame([(1, 10), (2, 20), (3, 30), (None, 5), (7, None)], "k int, v long")
+    b = spark.createDataFrame([(2, 20), (3, 33), (4, 40), (5, 50), (None, 5), (7, None)], "k int, v long")
+    for buckets in (1, 64):
+        got = checks.reconcile_buckets(a, b, ["k"], "v", buckets).first().asDict()
+        assert got == {"in_both": 4, "only_in_a": 1, "only_in_b": 2, "n_differ": 1, "min_diff": -3, "max_diff": 0}
+        same = checks.reconcile_buckets(a, a, ["k"], "v", buckets).first().asDict()
+        assert same == {"in_both": 5, "only_in_a": 0, "only_in_b": 0, "n_differ": 0, "min_diff": 0, "max_diff": 0}
+    none = checks.reconcile_buckets(a, b.limit(0), ["k"], "v").first()
+    assert (none.in_both, none.only_in_a, none.max_diff) == (0, 5, None)
