@@ -39,6 +39,13 @@ _LETTER, _NUMBER = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
 _SHORT = re.compile("[!-~¡-¬®-ÿ]*")
 _PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_LETTER}{_NUMBER}]+")
 
+# The model sees bytes, written as characters: printable ones as themselves, the others in order
+# from U+0100 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE = {b: chr(b) for b in _SHOWN}
+_BYTE |= {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _BYTE)}
+_SPELLED = {c: "".join(_BYTE[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+
 
 def _lowered(words: pa.Array) -> pa.Array:
     """Words that are wholly ASCII in lower case.
@@ -74,7 +81,8 @@ class WordIds:
     def _spelled(self, stretches: list[str]) -> list[bytes]:
         """Ids of stretches of lower-case letters, or a number, or other characters."""
         spell = self.library.model.tokenize
-        return [np.array([t.id for t in spell(s)], np.int32).tobytes() for s in stretches]
+        spelled = (s if s.isascii() else s.translate(_SPELLED) for s in stretches)
+        return [np.array([t.id for t in spell(s)], np.int32).tobytes() for s in spelled]
 
     def _new(self, words: list[str]) -> list[bytes]:
         split = {w: _PLAIN.findall(w.lower()) for w in words if _SHORT.fullmatch(w)}
