@@ -83,6 +83,7 @@ def products(a: Vectors, b: Vectors) -> np.ndarray:
     if bound < 1 << 63:
         return left @ right
     exact = left.astype(object) @ right.astype(object)
+    exact[a.at[:, None] == b.at[None, :]] = 0  # a row's own score is not asked for
     if exact.size and max(abs(exact.min()), abs(exact.max())) >= 1 << 63:
         raise OverflowError("a score is beyond the range of long")
     return exact.astype(np.int64)

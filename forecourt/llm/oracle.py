@@ -54,16 +54,18 @@ from docs window same as (partition by body)
 
 _OP6 = """
 with vectors as (
-  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+  select row_number() over () as nr, vec_id,
+    list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
   from embeddings
   where embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
-  select q.vec_id as query_id, c.vec_id,
-    list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::bigint as score
-  from vectors q, vectors c where q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+  select q.nr, q.vec_id as query_id, c.vec_id,
+    coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1),
+      lambda i: q.v[i] * c.v[i])), 0)::bigint as score
+  from vectors q join vectors c on q.vec_id % 20 = 0 and c.nr <> q.nr
 ), ranked as (
-  select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank
+  select *, row_number() over (partition by nr order by score desc, vec_id nulls last)::int as rank
   from scored
 )
 select query_id, rank, vec_id, score from ranked where rank <= 20

@@ -92,6 +92,7 @@ def test_wide_components(spark):
         check(spark, rows, scale=1)
     rows = [(i, i % 2, [float(2**29 + i * 2**24), -(2.0**20)]) for i in range(1, 13)]
     assert check(spark, rows, scale=1)
+    check(spark, [(4, 1, [2.0**62]), (5, 1, [1.0]), (6, 2, [0.75])], scale=1)
 
 
 def test_repeated_identifiers(spark):
