@@ -3,12 +3,21 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from forecourt.llm import langid, toxicity
 from forecourt.llm.queries import op4_cross_parsing, op10_ordinal_toxicity
 
 
+def spelled(n, letters):
+    """The n-th word over some letters."""
+    return "".join(letters[n // len(letters) ** i % len(letters)] for i in range(4))
+
+
 def brute_phrases(word, texts):
     i = count = 0
     while i < len(word):
@@ -29,10 +38,8 @@ def test_automaton_finds_longest_matches():
 
 
 def test_parser_by_hand():
-    import pyarrow as pa
-
     model = langid.learn([("xx", "aba abc"), ("yy", "ddd dede"), ("zz", "12 !")])
-    assert list(model.words) == ["xx", "yy"]
+    assert list(model.texts) == ["xx", "yy"] and model.texts["xx"] == [" aba abc "]
     parser = langid.Parser(model)
     names, score, fits = parser.predict(pa.array(["aba", "DED 12", "", "5 !", "éééé", "a"]))
     assert names[:4] == ["xx", "yy", "und", "und"]
@@ -40,6 +47,53 @@ def test_parser_by_hand():
     assert fits.tolist() == [True, True, False, False, False, False]
 
 
+TEXTS = st.text("abcdE é1.\n日", max_size=40)
+
+
+@settings(max_examples=150, deadline=None)
+@given(
+    st.dictionaries(st.sampled_from("xyz"), st.lists(TEXTS, min_size=1, max_size=3), min_size=1),
+    st.lists(TEXTS, min_size=1, max_size=5),
+    st.sampled_from([5, 2048]),
+    st.booleans(),
+)
+def test_whole_texts_are_parsed_as_by_brute_force(samples, texts, piece, dense):
+    """Phrases cross words; the language with the least cost wins, the first one of equal ones."""
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(langid, "PIECE", piece)
+        patch.setattr(langid, "DENSE", langid.DENSE if dense else 0)
+        model = langid.learn([(n, t) for n, some in samples.items() for t in some])
+        parser = langid.Parser(model)
+        names, score, fits = parser.predict(pa.array(texts, pa.string()))
+    for text, name, one, fit in zip(texts, names, score, fits, strict=True):
+        whole = langid.spelled(text)
+        letters = sum(c != " " for c in whole)
+        if not letters or not model.texts:
+            assert (name, one, fit) == ("und", 0, False)
+            continue
+        if whole == "  ":
+            whole = " "
+        pieces = [whole[i : i + piece] for i in range(0, len(whole), piece)]
+        counts = {n: sum(brute_phrases(p, t) for p in pieces) for n, t in model.texts.items()}
+        cost = {n: k * np.log2(max(2, model.amount(n))) / letters for n, k in counts.items()}
+        least = min(cost.values())
+        assert np.isclose(cost[name], least) and fit == (counts[name] <= letters)
+        assert name == min(n for n in cost if np.isclose(cost[n], least, rtol=1e-12))
+        rest = sorted(cost.values())[1:]
+        assert np.isclose(one, 1 - least / max(rest[0], 1e-12) if rest else 1)
+
+
+def test_many_labels_are_learned_from_smaller_samples(spark):
+    rows = [(i, " ".join(spelled(i * 400 + k, "abcdefghij") for k in range(400)), f"l{i}") for i in range(320)]
+    rows += [(i, "few words", f"rare{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model.texts) == langid.MAX_LANGUAGES and not any(n.startswith("rare") for n in model.texts)
+    assert all(0 < model.amount(n) <= langid.LEAST_CHARS + 2 for n in model.texts)
+    found = predicted(spark, df.filter("doc_id < 3"), langid.predictor(spark, langid.fit(df, max_languages=5)))
+    assert len(found) == 6
+
+
 def test_languages_of_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     truth = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
@@ -54,7 +108,7 @@ def predicted(spark, docs, make):
 
 def test_odd_tables(spark, odd_docs, no_docs):
     model = langid.fit(odd_docs)
-    assert set(model.words) == {"en"}
+    assert set(model.texts) == {"en"}
     rows = predicted(spark, odd_docs, langid.predictor(spark, model))
     assert len(rows) == odd_docs.count()
     for r in rows:
@@ -74,11 +128,6 @@ def test_odd_tables(spark, odd_docs, no_docs):
     assert {r.p.grade for r in rows} == {0}
 
 
-def spelled(n, letters):
-    """The n-th word over some letters."""
-    return "".join(letters[n // len(letters) ** i % len(letters)] for i in range(4))
-
-
 def test_languages_of_long_short_repeated_and_null_texts(spark):
     words = lambda letters, n: [spelled(i, letters) for i in range(n)]
     book = " ".join(words("αβγδεζηθ", 3000))
@@ -90,17 +139,18 @@ def test_languages_of_long_short_repeated_and_null_texts(spark):
     rows += [(9, "xyz", "copies")] * 3000 + [(9, w, "copies") for w in words("qrstuvwx", 900)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = langid.fit(df)
-    assert set(model.words) == {"long", "short", "unspaced", "no key", "digits", "copies"}
-    assert set(model.words["long"]) <= set(words("αβγδεζηθ", 3000)) and model.letters["long"] > 15_000
-    assert set(model.words["short"]) == set(words("abcdefgh", 600))
-    assert set(model.words["digits"]) == set(words("ijklmnop", 50))
-    assert set(model.words["copies"]) == {"xyz", *words("qrstuvwx", 900)}
+    assert set(model.texts) == {"long", "short", "unspaced", "no key", "digits", "copies"}
+    learned = {n: set(" ".join(t).split()) for n, t in model.texts.items()}
+    assert learned["long"] <= set(words("αβγδεζηθ", 3000)) and model.amount("long") > 15_000
+    assert learned["short"] == set(words("abcdefgh", 600))
+    assert learned["digits"] == set(words("ijklmnop", 50))
+    assert learned["copies"] == {"xyz", *words("qrstuvwx", 900)}
     few = langid.fit(df, sample_chars=400)
-    assert set(few.words) == set(model.words)
-    for name, found in few.words.items():
-        assert sum(map(len, found)) <= 400
-        full = sum(map(len, model.words[name]))
-        assert sum(map(len, found)) >= min(full, 300)
+    assert set(few.texts) == set(model.texts)
+    for name in few.texts:
+        # A space is put around each text.
+        assert sum(len(t) - 2 for t in few.texts[name]) <= 400
+        assert few.amount(name) >= min(model.amount(name), 300)
 
 
 def test_toxic_rows_that_were_held_out(spark):
