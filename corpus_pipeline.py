@@ -40,7 +40,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     explains no better than letter by letter. If no language could be learned, all stay.
     """
     model = langid.fit(docs)
-    if not model.words:
+    if not model.texts:
         return docs
     fits = free_name(docs, "fits")
     predict = langid.predictor(spark, model)
