@@ -7,11 +7,11 @@ meet at the same fraction. All rows in the order of their fractions are cut into
 shards whose row counts differ by one at most; each shard then holds its share of
 every stratum, give or take one row.
 
-A stratum may hold any part of all rows, so no rank is counted over a whole stratum.
-Both orders are cut into about sqrt(N) slices by the (uniform) hash and by the fraction;
-a row's rank is the number of rows in earlier slices, from a table of slice counts,
-plus its rank in the slice. Window groups and slice counts per stratum both stay
-below about sqrt(N) rows; only columns the caller passes are shuffled, three times.
+A stratum may hold any part of all rows, and a key any part of a stratum, so no rank is counted over
+either. Rows are sorted into ranges of (stratum, hash, place in the input), which hold about
+equally many rows; a row's rank is the number of its stratum's rows in earlier ranges plus
+its rank in its own. The second order is cut into about sqrt(N) slices by the fraction, which is
+uniform. Only columns the caller passes are shuffled, three times.
 """
 
 from __future__ import annotations
@@ -60,11 +60,14 @@ def interleave(
     )
     total = rows.count()
     n_slices = max(1, math.isqrt(total))
-    rows = rows.withColumn("part", _slice(_unit(F.col("h")), n_slices))
 
+    # Ranges of (stratum, hash, place) hold about equally many rows, however many share a key.
+    tie = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    ranged = rows.withColumn("tie", tie).repartitionByRange("stratum", "h", "tie")
+    ranged = stage(ranged.withColumn("part", F.spark_partition_id()), "shard-ranges")
     before = Window.partitionBy("stratum").orderBy("part")
     offsets = (
-        rows.groupBy("stratum", "part")
+        ranged.groupBy("stratum", "part")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
             "stratum",
@@ -74,13 +77,13 @@ def interleave(
         )
     )
     phase = _unit(F.md5(F.concat(F.lit(f"{seed}:phase:"), F.col("stratum"))))
-    within = Window.partitionBy("stratum", "part").orderBy("h", "c0")
+    within = Window.partitionBy("stratum", "part").orderBy("h", "tie")
     ranked = stage(
-        rows.join(offsets, ["stratum", "part"])
+        ranged.join(offsets, ["stratum", "part"])
         .withColumn("rank", F.row_number().over(within) + F.col("earlier"))
         .withColumn("at", (F.col("rank") - 1 + phase) / F.col("n_stratum"))
         .withColumn("part", _slice(F.col("at"), n_slices))
-        .drop("h", "earlier", "n_stratum"),
+        .drop("h", "tie", "earlier", "n_stratum"),
         "shard-ranks",
     )
 

@@ -32,6 +32,18 @@ def test_every_shard_matches_the_mixture(spark, singles, most):
         assert all(abs(got[s] - n / 8) <= most for s in range(8)), source
 
 
+def test_a_hot_key_is_spread(spark):
+    """A third of the rows share a key, another third have none; they still fill every shard alike."""
+    df = spark.range(3000).selectExpr(
+        "case when id % 3 = 0 then 7 when id % 3 = 1 then id end as doc_id", "cast(id % 2 as string) as source"
+    )
+    rows = sharding.interleave(df.repartition(6), 10).collect()
+    check(rows, 10)
+    for source in "01":
+        got = Counter(r.shard for r in rows if r.source == source)
+        assert all(abs(got[s] - 150) <= 2 for s in range(10))
+
+
 def test_places_do_not_depend_on_partitions_but_on_the_seed(spark):
     df = spark.range(500).selectExpr("id as doc_id", "cast(id % 5 as string) as source")
     one = {r.doc_id: (r.shard, r.slot) for r in sharding.interleave(df, 4).collect()}
