@@ -79,14 +79,16 @@ def estimates(
     rules: Sequence[Rule],
     min_ns: Sequence[int],
     keep: Sequence[str] = (),
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Per rule and minimum sample: mean of kept prices, outlier count and share.
 
     Every rule is a column of one aggregation. The minimum sample is a matter of
     the whole group, so it is applied to the sums and costs no further pass.
-    `keep` names per-key columns of the rows to pass on.
+    `keep` names per-key columns of the rows to pass on, `carry` columns whose lowest value
+    describes the key.
     """
-    sums = {c: f"max({c})" for c in keep}
+    sums = {c: f"max({c})" for c in keep} | {c: f"min({c})" for c in carry}
     sums |= {"n_group": "sum(n)", "total": X.total("x", "n")}
     columns = {}
     for rule in rules:
@@ -101,4 +103,4 @@ def estimates(
             columns[f"outlier_{rule.name}_{t}"] = outliers
             columns[f"outlier_{rule.name}_pct_{t}"] = X.share(outliers, "n_group")
     totals = with_inside(rows, rules).groupBy(*key).agg(*X.named(sums))
-    return totals.select(*key, *keep, *X.named(columns))
+    return totals.select(*key, *keep, *carry, *X.named(columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.functions import expressions as X
@@ -20,7 +20,6 @@ from forecourt.operators.market import (
     market_pairs,
 )
 from forecourt.operators.metrics import (
-    by_dimension,
     measured_rows,
     metric_histogram,
     metric_summary,
@@ -37,6 +36,7 @@ LISTING_DIMENSIONS = (
     "snapshot_60",
     "snapshot_90",
 )
+SNAPSHOTS = LISTING_DIMENSIONS[3:]
 MARKET_DIMENSIONS = ("zip", "zip_style")
 DIMENSIONS = LISTING_DIMENSIONS + MARKET_DIMENSIONS
 
@@ -120,21 +120,72 @@ def matrix_of(
     """Long metric table of the given facts: dimension, key, measure and metrics.
 
     Cars are repeated per dimension and measure before they are counted, so
-    every dimension shares the same few shuffles.
+    every dimension shares the same few shuffles. Dimensions and measures go through them as numbers.
     """
     listing = [d for d in dimensions if d not in MARKET_DIMENSIONS]
     market = [d for d in dimensions if d in MARKET_DIMENSIONS]
     parts = []
     if listing:
-        needed = facts.select("vin_last_dt", "vin_frst_dt", "sold_flg", *measures, *listing)
-        keyed = by_dimension(needed, listing)
-        parts.append(metric_histogram(keyed, ["dim", "key"], measures, as_of, days))
+        parts.append(listing_histogram(facts, listing, measures, as_of, days))
     if market:
-        parts.append(market_histogram(facts, zipdist, market, measures, as_of, days))
+        part = market_histogram(facts, zipdist, market, measures, as_of, days)
+        parts.append(part.withColumns({"dim": _number("dim", DIMENSIONS), "measure": _number("measure", measures)}))
     hist = parts[0]
     for part in parts[1:]:
         hist = hist.unionByName(part)
-    return metric_summary(stage(hist, "values"), ["dim", "key"], days)
+    summary = metric_summary(stage(hist, "values"), ["dim", "key"], days)
+    return summary.withColumns({"dim": _name("dim", DIMENSIONS), "measure": _name("measure", measures)})
+
+
+def _number(column: str, names: Sequence[str]) -> Column:
+    """Place of a name in a short list."""
+    found = F.lit(None).cast("int")
+    for i, name in enumerate(names):
+        found = F.when(F.col(column) == name, i).otherwise(found)
+    return found
+
+
+def _name(column: str, names: Sequence[str]) -> Column:
+    return F.array(*[F.lit(n) for n in names])[F.col(column)]
+
+
+def listing_histogram(
+    facts: DataFrame,
+    dimensions: Sequence[str],
+    measures: Sequence[str],
+    as_of: date | str,
+    days: int,
+) -> DataFrame:
+    """Value histogram of listing dimensions, which are numbered as in DIMENSIONS, measures as given.
+
+    All snapshots of a car travel as one key, a digit for each, and are taken apart after counting.
+    """
+    plain = [d for d in dimensions if d not in SNAPSHOTS]
+    snapshots = [d for d in dimensions if d in SNAPSHOTS]
+    targets = [(DIMENSIONS.index(d), F.col(d).cast("string")) for d in plain]
+    if snapshots:
+        targets.append((-1, F.concat(*[F.col(d).cast("string") for d in snapshots])))
+    keyed = facts.select(
+        "vin_last_dt",
+        "vin_frst_dt",
+        "sold_flg",
+        *measures,
+        F.inline(F.array(*[F.struct(F.lit(i).alias("dim"), k.alias("key")) for i, k in targets])),
+    )
+    rows = measured_rows(keyed, ["dim", "key"], measures, as_of, days)
+    rows = rows.withColumn("measure", _number("measure", measures))
+    hist = value_histogram(rows, ["dim", "key", "measure", "sold"], ["moved"])
+    if not snapshots:
+        return hist
+    apart = F.array(
+        *[
+            F.struct(F.lit(DIMENSIONS.index(d)).alias("dim"), F.substring("key", i + 1, 1).alias("key"))
+            for i, d in enumerate(snapshots)
+        ]
+    )
+    itself = F.array(F.struct("dim", "key"))
+    others = [c for c in hist.columns if c not in ("dim", "key")]
+    return hist.select(*others, F.inline(F.when(F.col("dim") < 0, apart).otherwise(itself)))
 
 
 def wide_daily(inputs: Inputs, as_of: date | str) -> DataFrame:

@@ -16,7 +16,6 @@ from forecourt.operators.listing import study_rows, with_names
 from forecourt.operators.scoring import add_sums, common_errors, common_sums, mae_own
 from forecourt.operators.study import (
     base_stats,
-    described,
     dispersion,
     estimates,
     judged,
@@ -78,11 +77,12 @@ def rule_table(
 
 @dataclass(frozen=True)
 class Study:
-    """A staged fit: the price histogram and everything known per key."""
+    """A staged fit: the price histogram, its ranked rows if kept, and everything known per key."""
 
     grain: Grain
     hist: DataFrame
     comparison: DataFrame
+    ranked: DataFrame | None = None
 
 
 def fit(
@@ -92,38 +92,39 @@ def fit(
     end: date | str,
     rules: Sequence[Rule] = ALL_RULES,
     min_ns: Sequence[int] = MIN_NS,
+    keep_rows: bool = False,
 ) -> Study:
-    """Estimates of all rules beside the base statistics, one row per key."""
+    """Estimates of all rules beside the base statistics, one row per key, with the columns that
+    describe it, such as the make.
+
+    With `keep_rows` the ranked rows are staged, for scores over the same rows.
+    """
     key = list(grain.key)
     hist = stage(histogram(inputs, grain, start, end), "prices")
     base = stage(base_stats(hist, key), "base")
     rows = judged(hist, key, fitted_bounds(hist, base, key))
-    fitted = estimates(rows, key, rules, min_ns, keep=("mad", "meanad"))
-    return Study(grain, hist, base.join(fitted, key, "inner"))
+    if keep_rows:
+        rows = stage(rows, "ranked")
+    carry = [c for c in grain.carry if c not in key]
+    fitted = estimates(rows, key, rules, min_ns, keep=("mad", "meanad"), carry=carry)
+    return Study(grain, hist, base.join(fitted, key, "inner"), rows if keep_rows else None)
 
 
 def compare_methods(
     inputs: Inputs, grain: Grain, start: date | str, end: date | str
 ) -> DataFrame:
     """The wide comparison of all rules at both minimum samples, with names."""
-    study = fit(inputs, grain, start, end)
-    return with_description(study)
-
-
-def with_description(study: Study) -> DataFrame:
-    """The comparison with the columns that describe its keys, such as the make."""
-    key, carry = list(study.grain.key), study.grain.carry
-    return study.comparison.join(described(study.hist, key, carry), key, "inner")
+    return fit(inputs, grain, start, end).comparison
 
 
 def own_errors(study: Study, min_ns: Sequence[int] = MIN_NS) -> DataFrame:
     """Every method scored on the rows it keeps, over the fitted rows."""
     key = list(study.grain.key)
     names = [f"avg_price_{r.name}_{t}" for r in ALL_RULES for t in min_ns]
-    fitted = stage(study.comparison, "comparison").select(
-        *key, "median", "mad", "meanad", *names
-    )
-    return mae_own(judged(study.hist, key, fitted), ALL_RULES, min_ns)
+    fitted = stage(study.comparison.select(*key, "median", "mad", "meanad", *names), "comparison")
+    if study.ranked is None:
+        return mae_own(judged(study.hist, key, fitted), ALL_RULES, min_ns)
+    return mae_own(attach(study.ranked, fitted.select(*key, *names), key), ALL_RULES, min_ns)
 
 
 def scored(study: Study, score_hist: DataFrame, rules: Sequence[Rule] = ALL_RULES) -> DataFrame:

@@ -41,7 +41,6 @@ FACTS = (
     " mileage days_on_lot"
 ).split()
 GROUP = ("dim", "key", "zip", "style", "measure", "sold", "moved")
-SNAPSHOTS = ("today_snapshot", "snapshot_45", "snapshot_60", "snapshot_90")
 
 
 def runs(spark: SparkSession, root: str) -> list:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from forecourt.operators.histogram import CHUNK, locate, ranked, value_histogram
 from forecourt.operators.listing import listing_fact, study_rows
 from forecourt.operators.market import market_fact
-from forecourt.plans import daily
+from forecourt import staging
+from forecourt.plans import daily, markets
 from forecourt.plans import evaluation as ev
 from forecourt.sources import tpch
 
@@ -25,6 +26,64 @@ def inputs(spark):
     return tpch.staged_inputs(spark, SF)
 
 
+@pytest.fixture(scope="module")
+def staged_plans(spark, inputs):
+    """Plans of everything that the pipelines write on their way, and of their results, by pipeline."""
+    found = {}
+
+    def recorded(name, build, *modules):
+        plans = found.setdefault(name, [])
+
+        def stage(df, label):
+            plans.append((label, plan_of(df)))
+            return staging.stage(df, label)
+
+        with pytest.MonkeyPatch.context() as patch:
+            for module in modules:
+                patch.setattr(module, "stage", stage)
+            plans.append(("result", plan_of(build())))
+
+    since = "1998-07-17"
+    recorded("matrix", lambda: daily.metric_matrix(inputs, AS_OF), daily)
+    recorded("comparison", lambda: ev.compare_methods(inputs, ev.STYLE, since, AS_OF), ev)
+    recorded("own errors", lambda: ev.own_errors(ev.fit(inputs, ev.STYLE, since, AS_OF, keep_rows=True)), ev)
+    recorded("bands", lambda: markets.metric_matrix_bands(inputs, AS_OF), markets, daily)
+    recorded("wide", lambda: markets.wide_metrics(inputs, AS_OF), markets)
+    return found
+
+
+def test_no_step_of_a_pipeline_multiplies_or_meets_in_one_task(staged_plans):
+    for name, plans in staged_plans.items():
+        assert len(plans) > 1, name
+        for label, plan in plans:
+            assert "CartesianProduct" not in plan and "NestedLoop" not in plan, (name, label)
+            assert "Python" not in plan and "Pandas" not in plan, (name, label)
+            allowed = 1 if (name, label) == ("own errors", "result") else 0
+            assert plan.count("Exchange SinglePartition") == allowed, (name, label)
+
+
+def exchanges(plans):
+    """Shuffles of all steps; what Spark reuses counts once."""
+    return sum(len(re.findall(r"(?<!Reused)(?<!Broadcast)Exchange (?:hash|range|Round)", p)) for _, p in plans)
+
+
+def test_ranked_rows_are_not_ranked_again(staged_plans):
+    ranks = [label for label, plan in staged_plans["own errors"] if re.search(r"Window .*x#\d+L? ASC", plan)]
+    assert ranks == ["base", "ranked"]
+    assert exchanges(staged_plans["own errors"]) <= exchanges(staged_plans["comparison"]) + 2
+
+
+def test_snapshots_travel_as_one_key(staged_plans):
+    """A car is repeated for three dimensions and all snapshots together, not for each of them."""
+    plan = next(p for label, p in staged_plans["matrix"] if label == "values")
+    assert plan.count("Generate inline") == 3  # listing targets, snapshots after counting, market targets
+
+
+def test_all_bands_share_one_expansion(staged_plans):
+    joins = [len(re.findall(r"Join \[zip#", p)) for _, p in staged_plans["bands"]]
+    assert sum(joins) == 1
+
+
 @pytest.fixture(scope="module")
 def frames(spark, inputs):
     facts = listing_fact(inputs.hist, inputs.dealers, inputs.vins, AS_OF)
@@ -35,7 +94,7 @@ def frames(spark, inputs):
         "market": market_fact(facts, inputs.zipdist),
         "matrix": daily.metric_matrix(inputs, AS_OF),
         "wide": daily.wide_daily(inputs, AS_OF),
-        "comparison": ev.with_description(study),
+        "comparison": study.comparison,
         "own errors": ev.own_errors(study),
         "common errors": ev.common_error_row(study, study.hist),
     }

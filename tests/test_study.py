@@ -36,7 +36,7 @@ def by_style(cars):
 def test_comparison_and_own_errors(listings, cars):
     inputs = listings(cars)
     study = ev.fit(inputs, ev.STYLE, ago(90), AS_OF)
-    rows = rows_of(ev.with_description(study), "style_id")
+    rows = rows_of(study.comparison, "style_id")
     errors = ev.own_errors(study).first().asDict()
     groups = by_style(cars)
     for name in RULES:

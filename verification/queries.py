@@ -144,6 +144,7 @@ def _log2s_trim(spark: SparkSession, sf: str) -> DataFrame:
     rows = cars.select(
         "vin", "dealer_id", sold.alias("sold"), *X.named({"x": X.hundredths("price")})
     ).withColumn("bucket", bucket())
+    rows = stage(rows, "trim-rows")
     group = ["dealer_id", "sold"]
     stats = group_stats(locate(value_histogram(rows, group), group), group)
     judged = attach(rows, stats, group)
@@ -343,8 +344,10 @@ def _mad(grain: ev.Grain) -> Query:
     return run
 
 
-def _study(spark: SparkSession, sf: str, grain: ev.Grain, start: date, end: date) -> ev.Study:
-    return ev.fit(staged_inputs(spark, sf), grain, start, end)
+def _study(
+    spark: SparkSession, sf: str, grain: ev.Grain, start: date, end: date, keep_rows: bool = False
+) -> ev.Study:
+    return ev.fit(staged_inputs(spark, sf), grain, start, end, keep_rows=keep_rows)
 
 
 def _compare(grain: ev.Grain, start: date) -> Query:
@@ -360,7 +363,9 @@ def _mae_common(grain: ev.Grain) -> Query:
 
 
 def _mae_own(grain: ev.Grain, start: date) -> Query:
-    return lambda spark, sf: ev.own_errors(_study(spark, sf, grain, start, AS_OF))
+    return lambda spark, sf: ev.own_errors(
+        _study(spark, sf, grain, start, AS_OF, keep_rows=True)
+    )
 
 
 def _backtest(grain: ev.Grain) -> Query:
