@@ -28,6 +28,8 @@ MARK = "▁"
 WIDTH = 22  # bits of a symbol's number
 OUTSIDE = 1 << 21  # numbers of characters without piece begin here
 GONE = -1
+NEVER = 1 << 62  # the place of a pair that forms no piece
+SHORT = 24  # symbols of a part that needs no heap
 COMMON = 1024  # characters up to here, and the mark, are looked up in a table of pairs
 PLACE_BITS = 32
 PLACES = (1 << PLACE_BITS) - 1
@@ -189,8 +191,26 @@ class PieceModel:
         unknown = sum(len(chr(s - OUTSIDE).encode()) - 1 for s in symbols if s >= OUTSIDE)
         return len(part) - merges + unknown
 
+    def short(self, part: str) -> list[int]:
+        """The symbols that remain of a short part, by an agenda in order of position.
+
+        Taking the least place of a few pairs costs less than keeping a heap of them.
+        """
+        symbol, pairs, formed = self.symbol.get, self.pairs.get, self.formed
+        symbols = [symbol(c) or OUTSIDE + ord(c) for c in part]
+        agenda = [pairs(a << WIDTH | b, NEVER) for a, b in zip(symbols, symbols[1:])]
+        while agenda and (least := min(agenda)) != NEVER:
+            i = agenda.index(least)  # the first of equal ones
+            left = symbols[i] = formed[symbols[i] << WIDTH | symbols.pop(i + 1)]
+            del agenda[i]
+            if i:
+                agenda[i - 1] = pairs(symbols[i - 1] << WIDTH | left, NEVER)
+            if i < len(agenda):
+                agenda[i] = pairs(left << WIDTH | symbols[i + 1], NEVER)
+        return symbols
+
     def ids(self, part: str) -> list[int]:
-        symbols, _ = self.merged(part)
+        symbols = self.short(part) if len(part) <= SHORT else self.merged(part)[0]
         if max(symbols, default=0) < OUTSIDE:
             return symbols
         found: list[int] = []

@@ -110,3 +110,5 @@ def test_merging_by_numbers_gives_the_librarys_ids(text):
     parts, _ = CODEC.model.parts_of([text])
     assert "".join(parts) == "▁" + text.replace(" ", "▁")
     assert [i for p in parts for i in CODEC.model.ids(p)] == LIBRARY.encode(text) or not text
+    for p in parts:
+        assert CODEC.model.short(p) == CODEC.model.merged(p)[0]
