@@ -63,7 +63,9 @@ def tokenized_pieces(
 ) -> DataFrame:
     """key, start, length, ids_crc32, doc_tokens of each piece of each whole text.
 
-    A null text is empty and has the end id only, as one piece. Repeated rows and null keys stay.
+    A null text is empty and has the end id only, as one piece. Repeated rows and null keys stay. A
+    very long text is encoded whole and gives many pieces; an empty table gives none. Other columns play no
+    part, whatever their names.
     """
     with open(vocabulary_path, "rb") as file:
         vocabulary = df.sparkSession.sparkContext.broadcast(file.read())

@@ -121,7 +121,9 @@ def encode(
     """key and `ids` (array of int) of each row's whole text, exactly as the library's.
 
     `decoded` adds the text that `decode` gives for these ids, made by the same worker.
-    A null text counts as empty and has the end id only. Repeated rows and null keys stay.
+    A null text counts as empty and has the end id only. Repeated rows and null keys stay. A very
+    long text is encoded whole, as a slice of its own, and an empty table gives no rows. Other columns
+    play no part, whatever their names.
     """
     with open(model_path, "rb") as file:
         proto = df.sparkSession.sparkContext.broadcast(file.read())

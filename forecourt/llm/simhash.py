@@ -254,7 +254,8 @@ def near_duplicates(
     Texts lose the case of A to Z and fall into words at ASCII white space. Texts without words,
     null ones among them, have fingerprint zero and link like any other. Equal
     fingerprints are linked. Repeated rows stay. A null key is never the smallest while the
-    component has another.
+    component has another. A very long text is read in pieces of words. An empty table gives no rows. Other
+    columns play no part, whatever their names.
     """
     key = column(df, key) if isinstance(key, str) else key
     marked = stage(fingerprints(df, key, text, shingle), "fingerprints")

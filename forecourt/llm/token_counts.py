@@ -46,7 +46,9 @@ def count_tokens(
     """key, n_bytes and n_tokens of each row's whole text, as the library for the model counts.
 
     A null text counts as empty: no bytes, no tokens. Repeated rows and null keys stay as they are.
-    No begin or end is counted. The model file is read once, on the driver.
+    No begin or end is counted. A very long text is counted whole, as a slice of its own, and an empty
+    table gives no rows. Other columns play no part, whatever their names. The model file is read
+    once, on the driver.
     """
     with open(model_path, "rb") as file:
         proto = df.sparkSession.sparkContext.broadcast(file.read())

@@ -258,7 +258,8 @@ def predictor(spark: SparkSession, model: Model):
     """A function of a text column to struct(severity, chance, grade).
 
     `severity` is the expected grade, `chance` that of a grade above 0, `grade` the highest grade that is
-    reached with a chance of one half or more. Null and empty texts are scored as empty.
+    reached with a chance of one half or more. Null and empty texts are scored as empty, a very long
+    one whole.
     """
     shared = spark.sparkContext.broadcast(model)
     name = ("toxicity", uuid.uuid4().hex)

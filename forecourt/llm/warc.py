@@ -166,7 +166,8 @@ def write_archives(
 
     A null payload is empty, a very long one is held whole by its task. Equal payloads of at least `min_bytes` form a group: its rows with the
     largest key are responses, the others revisits. Rows with a null key are responses and in
-    no group. A null address is left out. An empty frame gives an empty manifest.
+    no group. Rows that repeat the largest key are all responses, under one record identifier. Other
+    columns play no part, whatever their names. A null address is left out. An empty frame gives an empty manifest.
     """
     spark = df.sparkSession
     folder = folder or new_path(spark, "archives")
