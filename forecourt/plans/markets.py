@@ -184,14 +184,17 @@ def _statistics(hist: DataFrame, keys: list[str], cells: dict[str, str], named:
     wide = {
         f"{statistic}_{c}": sql for c in cells for statistic, sql in trimmed_and_medians(c).items()
     }
-    per_measure = stage(rows.groupBy(*keys, "measure").agg(*X.named(wide)), "wide-statistics")
-    picked = {}
-    for m in MEASURES:
-        for c in cells:
-            for s in STATISTICS:
-                what, state = s.split("_")
-                picked[f"{what}_{m}_{state}_{named[c]}"] = f"max(if(measure = '{m}', {s}_{c}, null))"
-    return per_measure.groupBy(*keys).agg(*X.named(picked))
+    per_measure = rows.groupBy(*keys, "measure").agg(*X.named(wide))
+    # The few measures of a key meet as a map, so the pivot is one aggregate and not hundreds.
+    entry = F.struct("measure", F.struct(*wide).alias("statistics"))
+    together = per_measure.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("m"))
+    columns = [
+        F.col("m")[m][f"{s}_{c}"].alias(f"{s.split('_')[0]}_{m}_{s.split('_')[1]}_{named[c]}")
+        for m in MEASURES
+        for c in cells
+        for s in STATISTICS
+    ]
+    return stage(together.select(*keys, *columns), "wide-statistics")
 
 
 def _in_scope(flag: str, scope: str) -> str:

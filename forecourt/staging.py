@@ -43,8 +43,19 @@ def ready(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = ":".join(filter(None, [root, *paths]))
 
 
+def own_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediates."""
+    return f"{shared_folder(spark)}/forecourt/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/forecourt/{label}-{uuid.uuid4().hex}"
+    return f"{own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has staged. Frames that it returned must have been used by then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import re
 from datetime import date
+from pathlib import Path
 
 import pytest
 from conftest import AS_OF, ago
@@ -51,6 +52,14 @@ def test_stage_uses_the_folder_of_the_session(spark):
     assert back.inputFiles()[0].startswith(f"file://{staging.shared_folder(spark)}")
 
 
+def test_released_files_are_gone(spark, monkeypatch):
+    monkeypatch.setattr(staging, "own_folder", lambda s: f"{staging.shared_folder(s)}/forecourt/released")
+    kept = staging.stage(spark.range(3), "test").inputFiles()[0].removeprefix("file://")
+    assert Path(kept).exists()
+    staging.release(spark)
+    assert not Path(kept).exists() and not Path(kept).parent.parent.exists()
+
+
 def test_publish_replaces_one_day_only(spark, tmp_path):
     path = str(tmp_path / "table")
     publish(spark.range(3), path, ago(1))

@@ -737,6 +737,11 @@ def all_oracles() -> dict[str, str]:
             " count(*) filter (where n >= 11) as ge_11"
         ),
         "key_check": from_base("count(*) as n_rows, count(distinct style_id) as n_keys"),
+        "input_key_checks": f"""{with_ctes()}
+          select 'vins' as input, count(*) as n_rows, count(distinct vin) as n_keys from vins
+          union all select 'hist', count(*), count(distinct vin) from hist
+          union all select 'zipdist', count(*), count(distinct zip1 || '-' || zip2) from zipdist
+          union all select 'styles', count(*), count(distinct style_id) from vins""",
         "freshness": f"{with_ctes()} select max(vin_last_dt) as latest from hist",
         "reconcile_versions": reconcile(),
     }

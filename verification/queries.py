@@ -398,6 +398,22 @@ def _key_check(spark: SparkSession, sf: str) -> DataFrame:
     return checks.key_check(_base(ev.STYLE)(spark, sf), ["style_id"])
 
 
+def _input_key_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys of the inputs themselves: decode and distances are unique, the history is not by car."""
+    inputs = staged_inputs(spark, sf)
+    checked = {
+        "vins": (inputs.vins, ["vin"]),
+        "hist": (inputs.hist, ["vin"]),
+        "zipdist": (inputs.zipdist, ["zip1", "zip2"]),
+        "styles": (inputs.vins, ["style_id"]),  # some cars are not decoded
+    }
+    found = None
+    for name, (df, key) in checked.items():
+        part = checks.key_check(df, key).withColumn("input", F.lit(name))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def _freshness(spark: SparkSession, sf: str) -> DataFrame:
     return checks.freshness(derived_inputs(spark, sf).hist)
 
@@ -504,6 +520,7 @@ def all_queries() -> dict[str, Query]:
         "size_buckets": lambda spark, sf: reports.size_buckets(_base(ev.STYLE)(spark, sf)),
         "size_totals": lambda spark, sf: reports.size_totals(_base(ev.STYLE)(spark, sf)),
         "key_check": _key_check,
+        "input_key_checks": _input_key_checks,
         "freshness": _freshness,
         "reconcile_versions": _reconcile,
     }
