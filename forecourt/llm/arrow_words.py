@@ -7,6 +7,8 @@ slice once and can keep its answer in a bounded cache for later slices and tasks
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -16,7 +18,7 @@ import pyarrow.compute as pc
 SLICE_BYTES = 6 << 20
 LONGEST = 256  # characters of a key that is kept
 ENTRY = 220  # bytes of a kept entry beside its letters
-ROOM = 48 << 20
+ROOM = 40 << 20
 STORED = 4096  # entries at once
 
 
@@ -76,14 +78,25 @@ _held: dict = {}
 def held(key, make: Callable):
     """What this worker keeps from task to task: the last thing made, under its key.
 
-    Workers serve one operator after the other, and each may fill large caches.
+    Workers serve one operator after the other, and each may fill large caches: memory of the one
+    before goes back to the system.
     """
     if key not in _held:
-        _held.clear()
+        if _held:
+            _held.clear()
+            _give_back()
         _held[key] = make()
     return _held[key]
 
 
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 class Recent:
     """A cache bounded by bytes: two generations of about `room` bytes at most, the older one dropped in turn.
 
@@ -113,6 +126,11 @@ class Recent:
                 self._keep({k: found[i] for i in missing[start : start + STORED] if len(k := keys[i]) <= LONGEST})
         return found
 
+    def peek(self, key: str):
+        """The answer to a key, if it is kept."""
+        found = self.young.get(key)
+        return self.old.get(key) if found is None else found
+
     def _keep(self, some: dict) -> None:
         # An answer is a few bytes per character of its key.
         cost = ENTRY * len(some) + 6 * sum(map(len, some))

@@ -282,6 +282,12 @@ class Transitions:
         return count + (state != 0)
 
 
+def _left(codes: np.ndarray, kept: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The codes that are kept, and where each text's begin among them."""
+    before = np.concatenate([[0], np.cumsum(kept, dtype=np.int32)])
+    return codes[kept], before[offsets].astype(np.int64)
+
+
 class Parser:
     def __init__(self, model: Model):
         self.names = list(model.texts)
@@ -293,7 +299,7 @@ class Parser:
         ]
         self.weights = np.array([math.log2(max(2, model.amount(n))) for n in self.names])
         # Of every character: its code, or -1 if it is neither letter nor white space.
-        self.code = np.full(0x110000, -1, np.int32)
+        self.code = np.full(0x110000, -1, np.int16 if self.letters < 1 << 15 else np.int32)
         for c in range(0x110000):
             if unicodedata.category(chr(c))[0] == "L":
                 self.code[c] = NO_LETTER
@@ -310,15 +316,13 @@ class Parser:
         # Their text as one string, so that each character is one number.
         whole = "".join(padded.to_pylist()).encode("utf-32-le")
         codes = self.code[np.frombuffer(whole, np.uint32)]
-        kept = np.flatnonzero(codes >= 0)
-        codes = codes[kept]
-        first = np.searchsorted(kept, offsets)
+        del padded, whole
+        codes, offsets = _left(codes, codes >= 0, offsets)
         # Of spaces in a row the first one stays; every text begins and ends with one.
-        again = np.zeros(len(codes), bool)
-        again[1:] = (codes[1:] == SPACE) & (codes[:-1] == SPACE)
-        again[first[:-1]] = False
-        before = np.concatenate([[0], np.cumsum(~again)])
-        return codes[~again], before[first]
+        kept = np.ones(len(codes), bool)
+        kept[1:] = (codes[1:] != SPACE) | (codes[:-1] != SPACE)
+        kept[offsets[:-1]] = True
+        return _left(codes, kept, offsets)
 
     def predict(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score, and whether the winner explains the text; no nulls in `texts`."""

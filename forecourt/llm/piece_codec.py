@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from forecourt.llm.arrow_words import Recent, encoded, held, joined, numbered, slices
 from forecourt.llm.frames import column, text_or_empty
-from forecourt.llm.piece_bpe import PieceModel, segments
+from forecourt.llm.piece_bpe import MARK, PieceModel, segments
 
 def _codec(proto: bytes) -> Codec:
     return held(("codec", hash(proto)), lambda: Codec(PieceModel(proto)))
@@ -28,7 +28,7 @@ def _codec(proto: bytes) -> Codec:
 class Codec:
     def __init__(self, model: PieceModel):
         self.model = model
-        self.parts = Recent(lambda new: [array("i", model.ids(p)).tobytes() for p in new])
+        self.inner = Recent(self._merged)  # parts that no word begins with
         self.words = Recent(self._encode_new)
         self.pieces = pa.array(model.bytes_of, pa.binary())
         self.spaced = np.array([*model.marked, False])
@@ -44,12 +44,24 @@ class Codec:
         if ours != model.library.decode([[i] for i in pieces]):
             raise RuntimeError("pieces are spelled otherwise by the sentencepiece library")
 
+    def _merged(self, parts: list[str]) -> list[bytes]:
+        return [array("i", self.model.ids(p)).tobytes() for p in parts]
+
+    def _part_ids(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts; those that words begin with may be kept as words."""
+        found = {p: self.words.peek(p[1:]) if p[0] == MARK else None for p in parts}
+        inner = [p for p in parts if p[0] != MARK]
+        found |= zip(inner, self.inner.answers(inner), strict=True)
+        unknown = [p for p, x in found.items() if x is None]
+        found |= zip(unknown, self._merged(unknown), strict=True)
+        return list(found.values())
+
     def _encode_new(self, words: list[str]) -> list[bytes]:
         if not words:
             return []
         cut, first = self.model.parts_of(words)
         numbers, known = numbered(cut)
-        lists = joined(self.parts.answers(known), numbers, first)
+        lists = joined(self._part_ids(known), numbers, first)
         # A lone mark (the empty word) is no text that the library could be given.
         texts = [w for w in words if w]
         ours = [x for x, w in zip(lists.to_pylist(), words, strict=True) if w]

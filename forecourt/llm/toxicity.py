@@ -26,6 +26,7 @@ from forecourt.llm.arrow_words import Recent, encoded, held, slices
 from forecourt.llm.frames import column, text_or_empty
 
 SAMPLE_ROWS = 12_000  # labelled rows the model is fitted on, about
+SLICE = 2 << 20  # bytes of text at once; each word has several features
 SAMPLE_FEATURES = 4_000  # of one sampled row; longer ones are not learned from
 BUCKETS = 1 << 20
 PREFIXES = (3, 4, 5, 6)
@@ -99,7 +100,7 @@ def sample(labelled: DataFrame, docs: DataFrame, key: str, text: str, rows: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 row, feature = reader.pairs(part["text"])
                 ends = np.cumsum(np.bincount(row, minlength=part.num_rows))
                 offsets = np.concatenate([[0], ends]).astype(np.int32)
@@ -269,7 +270,7 @@ def predictor(spark: SparkSession, model: Model):
         fitted = shared.value
         reader = held(name, lambda: Reader(fitted.buckets))
         chances = [np.zeros((0, len(fitted.thresholds)))]
-        for part in slices(pa.record_batch({"text": pc.fill_null(texts, "")}), "text"):
+        for part in slices(pa.record_batch({"text": pc.fill_null(texts, "")}), "text", SLICE):
             row, feature = reader.pairs(part["text"])
             score = np.bincount(row, weights=fitted.weights[feature], minlength=part.num_rows)
             gap = np.clip(fitted.thresholds - score[:, None], -30, 30)

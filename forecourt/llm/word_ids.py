@@ -71,7 +71,6 @@ class WordIds:
         if not self.mark:
             raise ValueError("special strings must begin alike")
         self.library = Tokenizer.from_str(vocabulary.decode())
-        self.stretches = Recent(self._spelled)
         self.words = Recent(self._new)
 
     def _library(self, texts: list[str]) -> list[np.ndarray]:
@@ -86,9 +85,11 @@ class WordIds:
 
     def _new(self, words: list[str]) -> list[bytes]:
         split = {w: _PLAIN.findall(w.lower()) for w in words if _SHORT.fullmatch(w)}
-        stretches = list(dict.fromkeys(s for parts in split.values() for s in parts))
-        ids = dict(zip(stretches, self.stretches.answers(stretches), strict=True))
-        found = {w: b"".join([ids[s] for s in parts]) for w, parts in split.items()}
+        # Most stretches are words too, with an answer that is kept.
+        ids = {s: self.words.peek(s) for parts in split.values() for s in parts}
+        unknown = [s for s, x in ids.items() if x is None]
+        ids |= zip(unknown, self._spelled(unknown), strict=True)
+        found = {w: ids[parts[0]] if len(parts) == 1 else b"".join([ids[s] for s in parts]) for w, parts in split.items()}
         others = [w for w in words if w not in found]
         for start in range(0, len(others), JOINED):
             some = others[start : start + JOINED]
