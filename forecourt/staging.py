@@ -8,6 +8,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
+
+#: Workers have one thread that allocates; with one pool, memory that is free goes back to the system.
+WORKER_MEMORY = {"MALLOC_ARENA_MAX": "1", "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 #: Where a local session without the setting checkpoints; see `ensure_checkpoint_dir`.
 LOCAL_DEFAULT = "/tmp/checkpoints/forecourt"
@@ -34,13 +38,20 @@ def ensure_checkpoint_dir(spark: SparkSession, folder: str = LOCAL_DEFAULT) -> N
 
 
 def ready(spark: SparkSession) -> None:
-    """Give the session a checkpoint folder, and its Python workers the way to this library."""
+    """Give the session a checkpoint folder, and its Python workers the way to this library.
+
+    Rows with long texts come to workers a few thousand at a time, unless the application says otherwise.
+    """
     ensure_checkpoint_dir(spark)
+    if BATCH not in dict(spark.sparkContext.getConf().getAll()):
+        spark.conf.set(BATCH, BATCH_ROWS)
     root = str(Path(__file__).resolve().parent.parent)
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(":")
     if root not in paths:
         environment["PYTHONPATH"] = ":".join(filter(None, [root, *paths]))
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
 
 
 def own_folder(spark: SparkSession) -> str:
