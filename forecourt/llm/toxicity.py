@@ -166,7 +166,11 @@ def fit(
 
 def _checks(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     """A number per row that depends on its set of features only."""
-    return np.bincount(rows, weights=values % 65_521, minlength=n)
+    found, some = np.zeros(n), 1 << 20
+    for at in range(0, len(rows), some):
+        part = values[at : at + some] % 65_521
+        found += np.bincount(rows[at : at + some], weights=part, minlength=n)
+    return found
 
 
 def _z(rows: np.ndarray, values: np.ndarray, grades: np.ndarray) -> np.ndarray:
@@ -182,7 +186,7 @@ def _z(rows: np.ndarray, values: np.ndarray, grades: np.ndarray) -> np.ndarray:
 
 def _split(rows: np.ndarray, values: np.ndarray, grades: np.ndarray, z: np.ndarray) -> np.ndarray:
     n = len(grades)
-    marked = np.bincount(rows, weights=z[values] >= MARK_Z, minlength=n)
+    marked = np.bincount(rows[(z >= MARK_Z)[values]], minlength=n)
     upper = grades > 0
     return upper.astype(np.int64) + (upper & (marked > np.median(marked[upper])))
 
@@ -195,10 +199,10 @@ def _regress(rows: np.ndarray, values: np.ndarray, grades: np.ndarray, z: np.nda
     picked = np.flatnonzero(z >= MIN_Z)
     if len(picked) > MAX_FEATURES:
         picked = np.sort(picked[np.argsort(-z[picked], kind="stable")[:MAX_FEATURES]])
-    index = np.full(BUCKETS, -1)
+    index = np.full(BUCKETS, -1, np.int32)
     index[picked] = np.arange(len(picked))
-    feature = index[values]
-    rows, feature = rows[feature >= 0], feature[feature >= 0]
+    held = (index >= 0)[values]
+    rows, feature = rows[held], index[values[held]]
     n, top = len(grades), int(grades.max())
     above = grades[:, None] > np.arange(top)  # a row's grade lies above each threshold, or not
 
