@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 8 << 20
 LONGEST = 256  # characters of a key that is kept
 ENTRY = 220  # bytes of a kept entry beside its letters
 ROOM = 40 << 20

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.arrow_words import Recent, encoded, held, joined, numbered, slices
+from forecourt.llm.arrow_words import ROOM, Recent, encoded, held, joined, numbered, slices
 from forecourt.llm.frames import column, text_or_empty
 from forecourt.llm.piece_bpe import MARK, PieceModel, segments
 
@@ -29,7 +29,7 @@ class Codec:
     def __init__(self, model: PieceModel):
         self.model = model
         self.inner = Recent(self._merged)  # parts that no word begins with
-        self.words = Recent(self._encode_new)
+        self.words = Recent(self._encode_new, room=2 * ROOM)  # merging anew costs more than elsewhere
         self.pieces = pa.array(model.bytes_of, pa.binary())
         self.spaced = np.array([*model.marked, False])
         self.bytes = np.zeros(len(self.spaced), bool)
