@@ -157,11 +157,13 @@ def ranked(hist: DataFrame, located: DataFrame, group: Sequence[str]) -> DataFra
         .orderBy("x")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    last_rank = F.col("n_below") + F.sum("n").over(upto)
+    # Counted up before the join, rows are sorted while they are narrow, and the join needs no other order.
     return (
-        hist.join(located, [*group, "bucket"], "inner")
-        .withColumn("last_rank", last_rank)
+        hist.withColumn("n_upto", F.sum("n").over(upto))
+        .join(located, [*group, "bucket"], "inner")
+        .withColumn("last_rank", F.col("n_below") + F.col("n_upto"))
         .withColumn("first_rank", F.col("last_rank") - F.col("n") + 1)
+        .drop("n_upto")
     )
 
 

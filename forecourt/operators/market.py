@@ -26,6 +26,18 @@ def market_pairs(zipdist: DataFrame, centres: DataFrame, max_miles: float) -> Da
     return near.join(wanted, "zip1", "left_semi")
 
 
+def market_reach(
+    zipdist: DataFrame, facts: DataFrame, keys: Sequence[str], max_miles: float
+) -> DataFrame:
+    """Centre (`zip`) and other keys that a car has, with each zip (`zip2`) in the band and its distance.
+
+    Other combinations of centres and keys have no row that could show them.
+    """
+    wanted = facts.select("zip", *keys).distinct().withColumnRenamed("zip", "zip1")
+    near = zipdist.filter(F.col("distance") <= max_miles)
+    return wanted.join(near, "zip1", "inner").withColumnRenamed("zip1", "zip")
+
+
 def market_fact(
     facts: DataFrame, zipdist: DataFrame, max_miles: float = MARKET_MILES
 ) -> DataFrame:
@@ -80,12 +92,13 @@ def band_counts(
 ) -> DataFrame:
     """Sums of 0/1 `flags` per market zip and other keys, one column per flag and band.
 
-    `keys` are columns besides the zip. One join at the widest band serves all.
+    `keys` are columns besides the zip. One join at the widest band serves all. Only zips and keys that
+    some car has get a row: counts go nowhere else.
     """
     own = facts.groupBy("zip", *keys).agg(*[F.sum(f).alias(f) for f in flags])
-    pairs = market_pairs(zipdist, facts, max(bands))
-    spread = own.withColumnRenamed("zip", "zip2").join(pairs, "zip2", "inner")
-    return spread.groupBy(F.col("zip1").alias("zip"), *keys).agg(
+    reach = market_reach(zipdist, facts, keys, max(bands))
+    spread = own.withColumnRenamed("zip", "zip2").join(reach, ["zip2", *keys], "inner")
+    return spread.groupBy("zip", *keys).agg(
         *[
             F.sum(F.when(F.col("distance") <= b, F.col(f)).otherwise(0)).alias(f"{f}_{b}")
             for b in bands

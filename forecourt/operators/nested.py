@@ -116,17 +116,20 @@ def _profile(hist: DataFrame, group: Sequence[str], cells: Cells) -> DataFrame:
 def cell_rows(hist: DataFrame, group: Sequence[str], cells: Cells) -> DataFrame:
     """Histogram rows with each cell's statistics, trim (`keep_`) and first and last rank."""
     upto = f"over (partition by {', '.join(group)}, bucket order by x rows unbounded preceding)"
+    running = {f"upto_{c}": f"sum(n_{c}) {upto}" for c in cells}
     ranks, firsts = {}, {}
     for c in cells:
         near = between(
             "ln(x / 100D)", f"ml_{c} - {TRIM_SIGMA} * sd_{c}", f"ml_{c} + {TRIM_SIGMA} * sd_{c}", LOG_SLACK
         )
         ranks |= {
-            f"last_{c}": f"below_{c} + sum(n_{c}) {upto}",
+            f"last_{c}": f"below_{c} + upto_{c}",
             f"keep_{c}": f"(n_{c} > 0 and (ng_{c} < {TRIM_MIN_N} or {near}))",
         }
         firsts[f"first_{c}"] = f"last_{c} - n_{c} + 1"
-    joined = hist.join(_profile(hist, group, cells), [*group, "bucket"], "inner")
+    # Counted up before the join, rows are sorted while they are narrow, and the join needs no other order.
+    counted = hist.select("*", *X.named(running))
+    joined = counted.join(_profile(hist, group, cells), [*group, "bucket"], "inner")
     return joined.select("*", *X.named(ranks)).select("*", *X.named(firsts))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from forecourt.functions import expressions as X
 from forecourt.operators.histogram import value_histogram
 from forecourt.operators.listing import MEASURES
-from forecourt.operators.market import BANDS, NATIONWIDE, band_counts, market_pairs
+from forecourt.operators.market import BANDS, NATIONWIDE, band_counts, market_pairs, market_reach
 from forecourt.operators.metrics import (
     SUPPLY_MIN_N,
     days_supply,
@@ -141,17 +141,16 @@ def wide_metrics(inputs: Inputs, as_of: date | str, bands: Sequence[int] = BANDS
         "dealer": cell_histogram(values, ["dealer_id", "style_id", "measure", "sold"], ages, "n"),
         NATIONWIDE: cell_histogram(values, ["style_id", "measure", "sold"], ages, "n"),
     }
-    pairs = market_pairs(inputs.zipdist, facts, max(bands)).select(
-        F.col("zip2").alias("zip"),
-        F.col("zip1").alias("centre"),
-        narrowest(F.col("distance"), bands).alias("band"),
+    reach = market_reach(inputs.zipdist, counted, ["style_id"], max(bands)).select(
+        "zip", "style_id", "zip2", narrowest(F.col("distance"), bands).alias("band")
     )
     zipped = value_histogram(values, ["zip"], ["style_id", "measure", "sold", "age"], copies="n")
-    spread = zipped.drop("bucket").join(pairs, "zip").drop("zip").withColumnRenamed("centre", "zip")
+    spread = zipped.drop("bucket").withColumnRenamed("zip", "zip2").join(reach, ["zip2", "style_id"])
     both = crossed(ages, nested_cells("b", "band", len(bands)))
     parts["market"] = cell_histogram(spread, ["zip", "style_id", "measure", "sold"], both, "n")
 
-    wide = dealer.join(near, ["zip", "style_id"], "left").join(nation, "style_id")
+    # What shares a key meets first, so that the wide row moves once for each further key.
+    found = {"dealer": dealer, NATIONWIDE: nation, "market": near}
     for scope, hist in parts.items():
         keys = [k for k in hist.columns[:3] if k not in ("measure", "sold")]
         cells = both if scope == "market" else ages
@@ -160,7 +159,10 @@ def wide_metrics(inputs: Inputs, as_of: date | str, bands: Sequence[int] = BANDS
             age, _, band = c.partition("_")
             place = f"{bands[int(band[1:])]}_mile_market" if band else scope
             named[c] = f"{place}_{windows[int(age[1:])]}"
-        wide = wide.join(_statistics(stage(hist, "wide-cells"), keys, cells, named), keys, "left")
+        statistics = _statistics(stage(hist, "wide-cells"), keys, cells, named)
+        found[scope] = found[scope].join(statistics, keys, "left")
+    wide = found["dealer"].join(found[NATIONWIDE], "style_id")
+    wide = wide.join(found["market"], ["zip", "style_id"], "left")
     supplies = {
         f"days_supply_{s}_{w}": days_supply(
             f"cars_lstd_{s}_{w}", f"if(cars_sold_{s}_{w} >= {SUPPLY_MIN_N}, cars_sold_{s}_{w}, 0L)", days

@@ -3,7 +3,7 @@
 from conftest import AS_OF, ago, rows_of
 
 from forecourt.operators.listing import listing_fact
-from forecourt.operators.market import market_bands, market_fact
+from forecourt.operators.market import band_counts, market_bands, market_fact
 from forecourt.plans import daily
 
 DISTANCES = [
@@ -63,3 +63,16 @@ def test_wide_table_has_every_scope(listings):
     assert row["cars_lstd_100_mile_market_60_day"] == 2
     assert row["cars_lstd_nationwide_90_day"] == 2
     assert rows[1, 7]["cars_sold_25_mile_market_today"] == 1
+
+
+def test_counts_go_only_to_centres_that_have_the_key(spark):
+    facts = spark.createDataFrame(
+        [("10", 1, 1), ("20", 2, 1), ("20", 1, 1), ("30", 3, 1), (None, 1, 1)], "zip string, style_id long, sold int"
+    )
+    zips = ["10", "20", "30"]
+    zipdist = spark.createDataFrame(
+        [(a, b, abs(int(a) - int(b)) * 4.0) for a in zips for b in zips], "zip1 string, zip2 string, distance double"
+    )
+    found = band_counts(facts, zipdist, ["style_id"], ["sold"], (25, 50))
+    rows = {(r["zip"], r.style_id): (r.sold_25, r.sold_50) for r in found.collect()}
+    assert rows == {("10", 1): (1, 2), ("20", 1): (1, 2), ("20", 2): (1, 1), ("30", 3): (1, 1)}
