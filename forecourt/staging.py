@@ -69,11 +69,11 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write `df` and read it back: later steps neither recompute nor replan it.
 
-    This runs a job.
+    This runs a job. Without `compression` the session's setting holds.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -188,3 +188,11 @@ def test_builds_are_compared_by_checksum(spark):
         assert same == {"in_both": 5, "only_in_a": 0, "only_in_b": 0, "n_differ": 0, "min_diff": 0, "max_diff": 0}
     none = checks.reconcile_buckets(a, b.limit(0), ["k"], "v").first()
     assert (none.in_both, none.only_in_a, none.max_diff) == (0, 5, None)
+
+
+def test_derived_tables_are_written_small_and_not_sorted_again(spark):
+    staged = tpch.staged_inputs(spark, SF)
+    files = [*staged.hist.inputFiles(), *staged.vins.inputFiles()]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    cars = [int(r[0]) for r in spark.read.parquet(staged.hist.inputFiles()[0]).select("vin").collect()]
+    assert cars == sorted(cars)  # as the window leaves them, not sorted again
