@@ -33,14 +33,25 @@ def measured_rows(
     days: int,
 ) -> DataFrame:
     """One row per car and measure above zero, for cars seen in the window."""
-    recent = facts.filter(X.seen_since(F.col("vin_last_dt"), as_of, days)).select(
+    recent = recent_cars(facts, keys, measures, as_of, days)
+    ids = [*keys, "sold", "moved"]
+    return recent.unpivot(ids, list(measures), "measure", "x").filter(F.col("x") > 0)
+
+
+def recent_cars(
+    facts: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[str],
+    as_of: date | str,
+    days: int,
+) -> DataFrame:
+    """Cars seen in the window: their keys, sold state, moved-on flag, and measures in hundredths."""
+    return facts.filter(X.seen_since(F.col("vin_last_dt"), as_of, days)).select(
         *keys,
         sold_state(F.col("sold_flg")).alias("sold"),
         X.snapshot_flag(F.col("vin_frst_dt") > F.date_sub(X.as_date(as_of), days)).alias("moved"),
         *X.named({m: X.hundredths(m) for m in measures}),
     )
-    ids = [*keys, "sold", "moved"]
-    return recent.unpivot(ids, list(measures), "measure", "x").filter(F.col("x") > 0)
 
 
 def metric_histogram(

@@ -23,7 +23,9 @@ from forecourt.operators.metrics import (
     measured_rows,
     metric_histogram,
     metric_summary,
+    recent_cars,
 )
+from forecourt.operators import together as T
 from forecourt.staging import stage
 from forecourt.sources.schemas import Inputs
 
@@ -40,6 +42,9 @@ SNAPSHOTS = LISTING_DIMENSIONS[3:]
 MARKET_DIMENSIONS = ("zip", "zip_style")
 DIMENSIONS = LISTING_DIMENSIONS + MARKET_DIMENSIONS
 
+# Dimensions with few cars per key as a rule, by the column that brings their cars together.
+SHARED = {"style_id": ("style_id", "zip_style"), "dealer_id": ("dealer_id", "dealer_style")}
+
 WINDOWS = ("today", "45_day", "60_day", "90_day")
 STATES = ("sold", "lstd")
 
@@ -58,11 +63,13 @@ def market_histogram(
     as_of: date | str,
     days: int,
     max_miles: float = MARKET_MILES,
+    centres: DataFrame | None = None,
 ) -> DataFrame:
     """Value histogram per market dimension.
 
     Values are counted per own zip first; only those counts are repeated for the
-    markets around. The style is left out of the zip dimension's counts.
+    markets around. The style is left out of the zip dimension's counts. Markets are those of
+    the facts' zips, or of the `centres` where the facts are a part only.
     """
     style = {"zip": F.lit(None).cast("bigint"), "zip_style": F.col("style_id")}
     targets = F.array(
@@ -73,7 +80,7 @@ def market_histogram(
     rows = measured_rows(located, ["dim", "zip", "style"], measures, as_of, days)
     keys = ["dim", "zip", "style", "measure", "sold", "moved"]
     own = value_histogram(rows, ["zip"], [k for k in keys if k != "zip"])
-    spread = expand_counts(own, market_pairs(zipdist, facts, max_miles), [*keys, "bucket", "x"])
+    spread = expand_counts(own, market_pairs(zipdist, facts if centres is None else centres, max_miles), [*keys, "bucket", "x"])
     key = F.when(F.col("dim") == "zip", F.col("zip")).otherwise(
         X.pair_key(F.col("zip"), F.col("style"))
     )
@@ -117,26 +124,79 @@ def matrix_of(
     dimensions: Sequence[str] = DIMENSIONS,
     measures: Sequence[str] = MEASURES,
 ) -> DataFrame:
-    """Long metric table of the given facts: dimension, key, measure and metrics.
+    """Long metric table of the given facts, which are staged: dimension, key, measure and metrics.
 
-    Cars are repeated per dimension and measure before they are counted, so
-    every dimension shares the same few shuffles. Dimensions and measures go through them as numbers.
+    Cars of a style or a dealer meet by a single shuffle for all its keys. Those of crowded styles and dealers, and
+    of dimensions with few keys, are repeated per dimension and measure before they are
+    counted, so that these share the same few shuffles. Dimensions and measures go through them as numbers.
     """
-    listing = [d for d in dimensions if d not in MARKET_DIMENSIONS]
-    market = [d for d in dimensions if d in MARKET_DIMENSIONS]
-    parts = []
-    if listing:
-        parts.append(listing_histogram(facts, listing, measures, as_of, days))
-    if market:
-        part = market_histogram(facts, zipdist, market, measures, as_of, days)
-        parts.append(part.withColumns({"dim": _number("dim", DIMENSIONS), "measure": _number("measure", measures)}))
-    hist = parts[0]
-    for part in parts[1:]:
-        hist = hist.unionByName(part)
-    summary = metric_summary(stage(hist, "values"), ["dim", "key"], days)
+    found, parts = [], []
+
+    def count(cars: DataFrame, names: Sequence[str]) -> None:
+        listing = [d for d in names if d not in MARKET_DIMENSIONS]
+        market = [d for d in names if d in MARKET_DIMENSIONS]
+        if listing:
+            parts.append(listing_histogram(cars, listing, measures, as_of, days))
+        if market:
+            part = market_histogram(cars, zipdist, market, measures, as_of, days, centres=facts)
+            numbers = {"dim": _number("dim", DIMENSIONS), "measure": _number("measure", measures)}
+            parts.append(part.withColumns(numbers))
+
+    shared = [d for names in SHARED.values() for d in names]
+    count(facts, [d for d in dimensions if d not in shared])
+    for column, names in SHARED.items():
+        wanted = [d for d in names if d in dimensions]
+        if not wanted:
+            continue
+        seen = facts.filter(X.seen_since(F.col("vin_last_dt"), as_of, days))
+        many = stage(T.crowded(seen, column, T.TOGETHER), "crowded")
+        few, rest = T.apart(facts, column, many)
+        found += [_summary_of(few, facts, zipdist, d, column, measures, as_of, days) for d in wanted]
+        if rest is not None:
+            count(rest, wanted)
+    if parts:
+        hist = parts[0]
+        for part in parts[1:]:
+            hist = hist.unionByName(part)
+        found.append(metric_summary(stage(hist, "values"), ["dim", "key"], days))
+    summary = found[0]
+    for part in found[1:]:
+        summary = summary.unionByName(part)
     return summary.withColumns({"dim": _name("dim", DIMENSIONS), "measure": _name("measure", measures)})
 
 
+def _summary_of(
+    cars: DataFrame,
+    facts: DataFrame,
+    zipdist: DataFrame,
+    dimension: str,
+    column: str,
+    measures: Sequence[str],
+    as_of: date | str,
+    days: int,
+) -> DataFrame:
+    """Metrics of one dimension of SHARED, from cars of which a task can hold all that share the column.
+
+    The markets of zip_style are those of the facts' zips.
+    """
+    others = {"dealer_style": ["style_id"], "zip_style": ["zip"]}.get(dimension, [])
+    rows = recent_cars(cars, [column, *others], measures, as_of, days)
+    rows = T.together(rows.dropna(subset=[column, *others]), column)
+    if dimension == "zip_style":
+        pairs = market_pairs(zipdist, facts, MARKET_MILES).select("zip1", "zip2")
+        rows = rows.withColumnRenamed("zip", "zip2").join(pairs, "zip2").drop("zip2")
+        rows = rows.withColumnRenamed("zip1", "zip")
+    cars = T.gathered(rows, [column, *others], ["sold", "moved", *measures])
+    values = T.per_measure(cars, [column, *others], measures, [str(i) for i in range(len(measures))])
+    found = T.summary_of_values(values, [column, *others], days)
+    key = {
+        "dealer_style": X.pair_key(F.col("dealer_id"), F.col("style_id")),
+        "zip_style": X.pair_key(F.col("zip"), F.col("style_id")),
+    }.get(dimension, F.col(column).cast("string"))
+    numbered = found.withColumns({"key": key, "dim": F.lit(DIMENSIONS.index(dimension))})
+    return numbered.drop(column, *others)
+
+
 def _number(column: str, names: Sequence[str]) -> Column:
     """Place of a name in a short list."""
     found = F.lit(None).cast("int")

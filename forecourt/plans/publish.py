@@ -44,6 +44,9 @@ METRICS = (
 )
 RUNS = "as_of date, run string, at timestamp"
 
+# Published tables are read many times, and runs stay on disk.
+CODEC = "zstd"
+
 
 def tables(days: int = 90) -> Iterator[tuple[str, str, str]]:
     """Name, measure and dimension of every table."""
@@ -56,15 +59,25 @@ def _day(as_of: date | str) -> date:
     return as_of if isinstance(as_of, date) else date.fromisoformat(as_of)
 
 
-def write_run(matrix: DataFrame, root: str, as_of: date | str) -> str:
+def laid_out(matrix: DataFrame) -> DataFrame:
+    """A matrix (dim, key, measure and metrics) as the tables have it: rows of a table lie together.
+
+    Large tables get several partitions, small ones one. A matrix that is published more than once is laid out
+    once, and staged.
+    """
+    slim = matrix.select("key", *METRICS, "measure", "dim")
+    return slim.hint("rebalance", F.col("measure"), F.col("dim"))
+
+
+def write_run(matrix: DataFrame, root: str, as_of: date | str, lies: bool = False) -> str:
     """Write a day's matrix (dim, key, measure and metrics); returns the run, not yet committed.
 
-    Large tables get several files, small ones one.
+    Large tables get several files, small ones one. A matrix that `lies` as `laid_out` left it is not moved again.
     """
     run = f"r{uuid.uuid4().hex}"  # never read as a number
     folder = f"{root}/tables/as_of={_day(as_of)}/run={run}"
-    slim = matrix.select("key", *METRICS, "measure", "dim")
-    slim.hint("rebalance", F.col("measure"), F.col("dim")).write.partitionBy("measure", "dim").parquet(folder)
+    ready = matrix if lies else laid_out(matrix)
+    ready.write.partitionBy("measure", "dim").parquet(folder, compression=CODEC)
     return run
 
 
@@ -111,9 +124,9 @@ def published_name(metric: str, dim: str, measure: str) -> str:
     return metric if statistic == "cars" else f"{statistic}_{measure}_{dim}_{state}"
 
 
-def publish_tables(matrix: DataFrame, root: str, as_of: date | str) -> str:
-    """Write and commit one day; returns its run."""
-    run = write_run(matrix, root, as_of)
+def publish_tables(matrix: DataFrame, root: str, as_of: date | str, lies: bool = False) -> str:
+    """Write and commit one day, see `write_run`; returns its run."""
+    run = write_run(matrix, root, as_of, lies)
     commit_run(matrix.sparkSession, root, as_of, run)
     return run
 
