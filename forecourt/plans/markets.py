@@ -17,6 +17,7 @@ from forecourt.operators.metrics import (
     days_supply,
     measured_rows,
     metric_summary,
+    recent_cars,
     sold_state,
 )
 from forecourt.operators.nested import (
@@ -28,7 +29,8 @@ from forecourt.operators.nested import (
     nested_cells,
     trimmed_and_medians,
 )
-from forecourt.plans.daily import MARKET_DIMENSIONS, daily_facts, stage_market_columns
+from forecourt.operators import together as T
+from forecourt.plans.daily import daily_facts, stage_market_columns
 from forecourt.sources.schemas import Inputs
 from forecourt.staging import stage
 
@@ -49,39 +51,76 @@ def metric_matrix_bands(
 
     The key of a band is the market's centre, that of the nation is `nationwide`, each with the style where the
     dimension has one. Keys without cars in a band have no row there. Values are counted per own
-    zip, and only the counts are sent to the markets around, once for all bands.
+    zip, and only the counts are sent to the markets around, once for all bands. Cars of a style that is not crowded
+    meet by a single shuffle instead, for all its markets and bands.
     """
     facts = stage_market_columns(daily_facts(inputs, as_of, max(days + 1, 121)))
-    targets = F.array(
-        *[
-            F.struct(F.lit(d).alias("dim"), s.alias("style"))
-            for d, s in zip(MARKET_DIMENSIONS, (F.lit(""), F.col("style_id").cast("string")), strict=True)
-        ]
+    near = market_pairs(inputs.zipdist, facts, max(bands)).select(
+        "zip2", F.col("zip1").alias("centre"), narrowest(F.col("distance"), bands).alias("band")
     )
-    located = facts.select("zip", "vin_last_dt", "vin_frst_dt", "sold_flg", *measures, F.inline(targets))
+    seen = facts.filter(X.seen_since(F.col("vin_last_dt"), as_of, days))
+    many = stage(T.crowded(seen, "style_id", T.TOGETHER), "crowded")
+    few, rest = T.apart(facts, "style_id", many)
+    found = _bands_of_styles(few, near, as_of, days, len(bands), measures)
+
+    # Whole zips, and what is left of the styles.
+    others = ("zip", "vin_last_dt", "vin_frst_dt", "sold_flg", *measures)
+    located = facts.select(*others, F.lit("zip").alias("dim"), F.lit("").alias("style"))
+    if rest is not None:
+        style = F.col("style_id").cast("string")
+        located = located.unionByName(rest.select(*others, F.lit("zip_style").alias("dim"), style.alias("style")))
     rows = measured_rows(located, ["dim", "zip", "style"], measures, as_of, days)
     keys = ["dim", "style", "measure", "sold"]
     own = stage(value_histogram(rows, ["zip"], [*keys, "moved"], null_groups=True), "own-values")
 
     cells = nested_cells("b", "band", len(bands))
-    near = market_pairs(inputs.zipdist, facts, max(bands)).select(
-        F.col("zip2").alias("zip"),
-        F.col("zip1").alias("centre"),
-        narrowest(F.col("distance"), bands).alias("band"),
-    )
-    spread = own.filter("zip is not null").drop("bucket").join(near, "zip", "inner")
+    spread = own.filter("zip is not null").drop("bucket").join(near.withColumnRenamed("zip2", "zip"), "zip", "inner")
     hist = cell_histogram(spread, ["centre", *keys], cells, copies="n", moved="moved")
     banded = cell_summary(stage(hist, "band-values"), ["centre", "dim", "style"], cells, days)
-    names = F.create_map(*[F.lit(x) for i, b in enumerate(bands) for x in (f"b{i}", str(b))])
-    banded = banded.withColumn("band", names[F.col("cell")]).drop("cell")
+    banded = banded.withColumn("cell", F.substring("cell", 2, 9).cast("int"))
 
     national = value_histogram(own, keys, ["moved"], copies="n")
     nation = metric_summary(stage(national, "nation-values"), ["dim", "style"], days).withColumns(
-        {"band": F.lit(NATIONWIDE), "centre": F.lit(NATIONWIDE)}
+        {"cell": F.lit(len(bands)), "centre": F.lit(NATIONWIDE)}
     )
-    found = banded.unionByName(nation)
+    found = banded.unionByName(nation).unionByName(found)
+    names = F.array(*[F.lit(str(b)) for b in (*bands, NATIONWIDE)])[F.col("cell")]
     key = F.when(F.col("style") == "", F.col("centre")).otherwise(X.pair_key(F.col("centre"), F.col("style")))
-    return found.withColumn("key", key).drop("centre", "style")
+    return found.withColumns({"band": names, "key": key}).drop("centre", "style", "cell")
+
+
+def _bands_of_styles(
+    facts: DataFrame, near: DataFrame, as_of: date | str, days: int, bands: int, measures: Sequence[str]
+) -> DataFrame:
+    """Metrics per market and style, of cars of which a task can hold all that share the style.
+
+    Cars of a market are gathered once for all bands. A band that adds none to the narrower one has the same metrics:
+    they are computed for the narrowest such band and repeated from `cell` up to `upto`. The nation is the last cell.
+    """
+    columns = ["sold", "moved", *measures]
+    known = facts.filter(F.col("style_id").isNotNull()).withColumnRenamed("zip", "zip2")
+    cars = T.together(recent_cars(known, ["style_id", "zip2"], measures, as_of, days), "style_id")
+    market = T.gathered(cars.join(near, "zip2"), ["style_id", "centre"], ["band", *columns])
+    within = ", ".join(
+        f"struct({i} as cell, if(exists(cars, c -> c.band = {i}), filter(cars, c -> c.band <= {i}), null) as cars)"
+        for i in range(bands)
+    )
+    cells = market.selectExpr("style_id", "centre", f"array({within}) as within").selectExpr(
+        "style_id", "centre", "filter(within, w -> w.cars is not null) as within"
+    )
+    apart = cells.selectExpr("style_id", "centre", "within.cell as firsts", "posexplode(within) as (at, w)").selectExpr(
+        "style_id", "centre", "w.cell as cell", f"coalesce(get(firsts, at + 1), {bands}) - 1 as upto", "w.cars as cars"
+    )
+    keys = ["style_id", "centre", "cell", "upto"]
+    names = [f"'{m}'" for m in measures]
+    banded = T.summary_of_values(T.per_measure(apart, keys, measures, names), keys, days)
+    banded = banded.withColumn("cell", F.explode(F.sequence("cell", "upto"))).drop("upto")
+    whole = T.per_measure(T.gathered(cars, ["style_id"], columns), ["style_id"], measures, names)
+    nation = T.summary_of_values(whole, ["style_id"], days).withColumns(
+        {"centre": F.lit(NATIONWIDE), "cell": F.lit(bands)}
+    )
+    found = banded.unionByName(nation).withColumn("style", F.col("style_id").cast("string"))
+    return found.withColumn("dim", F.lit("zip_style")).drop("style_id")
 
 
 def _age(day: Column, as_of: date | str) -> Column:

@@ -8,7 +8,8 @@ from conftest import AS_OF, ago
 from pyspark.sql import functions as F
 
 from forecourt.operators import together
-from forecourt.plans import daily
+from forecourt import staging
+from forecourt.plans import daily, markets
 from forecourt.sources import tpch
 from test_plans import SF, plan_of
 
@@ -61,3 +62,20 @@ def test_shared_dimensions_are_shuffled_once(spark):
 def test_crowded_values_are_counted_by_copies(spark):
     rows = spark.range(10).select((F.col("id") % 3).alias("k"), F.lit(2).alias("n"))
     assert [r.k for r in together.crowded(rows, "k", 6, "n").collect()] == [0]
+
+
+def test_bands_of_crowded_styles_are_the_same_and_others_are_not_counted_by_value(mixed, monkeypatch):
+    staged = {}
+
+    def stage(df, label):
+        staged[label] = staging.stage(df, label)
+        return staged[label]
+
+    monkeypatch.setattr(markets, "stage", stage)
+    found, dims = {}, {}
+    for most in (10_000, 12, 0):
+        monkeypatch.setattr(together, "TOGETHER", most)
+        found[most] = sorted_rows(markets.metric_matrix_bands(mixed, AS_OF))
+        dims[most] = {r.dim for r in staged["own-values"].select("dim").distinct().collect()}
+    assert found[10_000] == found[12] == found[0]
+    assert dims[10_000] == {"zip"} and dims[0] == {"zip", "zip_style"}
