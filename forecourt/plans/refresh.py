@@ -30,7 +30,8 @@ from forecourt.operators.histogram import value_histogram
 from forecourt.operators.listing import MEASURES, listing_fact, with_keys, with_snapshots
 from forecourt.operators.market import MARKET_MILES, expand_counts, market_pairs
 from forecourt.operators.metrics import by_dimension, measured_rows, metric_summary
-from forecourt.plans.daily import LISTING_DIMENSIONS, MARKET_DIMENSIONS
+from forecourt.operators import together as T
+from forecourt.plans.daily import LISTING_DIMENSIONS, MARKET_DIMENSIONS, SNAPSHOTS
 from forecourt.sources.schemas import Inputs
 from forecourt.staging import stage
 
@@ -213,7 +214,11 @@ def compact(spark: SparkSession, root: str) -> None:
 def matrix(
     spark: SparkSession, root: str, zipdist: DataFrame, max_miles: float = MARKET_MILES
 ) -> DataFrame:
-    """The long metric table of the state's day: dimension, key, measure and metrics."""
+    """The long metric table of the state's day: dimension, key, measure and metrics.
+
+    Counts of a style meet by one shuffle for all its markets, and so do those of other keys; crowded ones, zips and
+    snapshots go by histograms.
+    """
     done = runs(spark, root)
     last = done[-1]
     held = spark.read.parquet(f"{root}/run={last.run}/histogram")
@@ -223,10 +228,35 @@ def matrix(
     seen = X.seen_since(F.col("vin_last_dt"), last.as_of, HISTORY_DAYS)
     log = spark.read.parquet(*[f"{root}/run={r.run}/log" for r in done]).filter(seen)
     centres = log.groupBy("zip").agg(F.sum("sign").alias("n")).filter("n > 0")
-    spread = expand_counts(own, market_pairs(zipdist, centres, max_miles), keys)
-    key = F.when(F.col("dim") == "zip", F.col("zip")).otherwise(
-        X.pair_key(F.col("zip"), F.col("style"))
-    )
-    near = spread.withColumn("key", key).drop("zip", "style")
-    hist = listed.unionByName(near.select(listed.columns))
-    return metric_summary(stage(hist, "values"), ["dim", "key"], last.days)
+    near = market_pairs(zipdist, centres, max_miles)
+    pair = X.pair_key(F.col("zip"), F.col("style"))
+
+    few, many = _split(own.filter("dim = 'zip_style' and style is not null"), "style")
+    placed = few.withColumnRenamed("zip", "zip2").join(near.select("zip2", F.col("zip1").alias("zip")), "zip2")
+    markets = _read_off(placed, ["dim", "zip", "style"], last.days).withColumn("key", pair).drop("zip", "style")
+    zips = own.filter("dim = 'zip'")
+    spread = expand_counts(zips if many is None else zips.unionByName(many), near, keys)
+    key = F.when(F.col("dim") == "zip", F.col("zip")).otherwise(pair)
+    hist = spread.withColumn("key", key).drop("zip", "style")
+
+    few, many = _split(listed.filter(~F.col("dim").isin(*SNAPSHOTS)), "key")
+    others = _read_off(few, ["dim", "key"], last.days)
+    hist = hist.unionByName(listed.filter(F.col("dim").isin(*SNAPSHOTS)))
+    hist = hist if many is None else hist.unionByName(many)
+    summary = metric_summary(stage(hist, "values"), ["dim", "key"], last.days)
+    return summary.unionByName(markets).unionByName(others)
+
+
+def _split(hist: DataFrame, column: str) -> tuple[DataFrame, DataFrame | None]:
+    """Counts of values of a column that have few cars, together by it, and those of the others, if any."""
+    many = stage(T.crowded(hist, column, T.TOGETHER * len(MEASURES), "n"), "crowded")
+    few, rest = T.apart(hist, column, many)
+    return T.together(few, column), rest
+
+
+def _read_off(hist: DataFrame, keys: Sequence[str], days: int) -> DataFrame:
+    """All metrics of counts that lie together by one of the keys."""
+    copies = F.expr("inline(array_repeat(struct(sold, moved, x), int(n)))")
+    cars = T.gathered(hist.select(*keys, "measure", copies), [*keys, "measure"], ["sold", "moved", "x"])
+    values = cars.selectExpr(*keys, "measure", "cars.sold as states", "cars.moved as moves", "cars.x as xs")
+    return T.summary_of_values(values, keys, days)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from forecourt.operators import together
 from forecourt import staging
-from forecourt.plans import daily, markets
+from forecourt.plans import daily, markets, refresh
 from forecourt.sources import tpch
 from test_plans import SF, plan_of
 
@@ -79,3 +79,23 @@ def test_bands_of_crowded_styles_are_the_same_and_others_are_not_counted_by_valu
         dims[most] = {r.dim for r in staged["own-values"].select("dim").distinct().collect()}
     assert found[10_000] == found[12] == found[0]
     assert dims[10_000] == {"zip"} and dims[0] == {"zip", "zip_style"}
+
+
+def test_refreshed_matrix_of_crowded_keys_is_the_same_and_others_are_not_ranked_by_value(
+    spark, mixed, monkeypatch, tmp_path
+):
+    staged = {}
+
+    def stage(df, label):
+        staged[label] = staging.stage(df, label)
+        return staged[label]
+
+    refresh.start(spark, str(tmp_path), mixed, mixed.hist, AS_OF)
+    monkeypatch.setattr(refresh, "stage", stage)
+    found, dims = {}, {}
+    for most in (10_000, 3, 0):
+        monkeypatch.setattr(together, "TOGETHER", most)
+        found[most] = sorted_rows(refresh.matrix(spark, str(tmp_path), mixed.zipdist))
+        dims[most] = {r.dim for r in staged["values"].select("dim").distinct().collect()}
+    assert found[10_000] == found[3] == found[0]
+    assert dims[10_000] == {"zip", *daily.SNAPSHOTS} and dims[0] == set(daily.DIMENSIONS)
