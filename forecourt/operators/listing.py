@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forecourt.functions import expressions as X
@@ -109,8 +109,8 @@ def study_rows(
     hist: DataFrame,
     dealers: DataFrame,
     vins: DataFrame,
-    start: date | str | None,
-    end: date | str,
+    start: date | str | Column | None,
+    end: date | str | Column,
     required: tuple[str, ...] = ("model_year", "style_id"),
 ) -> DataFrame:
     """Priced latest listings last seen from `start` (if any) to `end`, both included.

@@ -37,13 +37,28 @@ def apart(rows: DataFrame, column: str, many: DataFrame) -> tuple[DataFrame, Dat
     return rows.join(many, column, "left_anti"), rows.join(many, column, "left_semi")
 
 
-def together(rows: DataFrame, column: str) -> DataFrame:
-    """Shuffle rows by a column.
+def crowded_groups(rows: DataFrame, keys: Sequence[str], most: int = TOGETHER) -> DataFrame:
+    """Groups of several columns with more than `most` rows; rows without a key are a group, too."""
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return counted.filter(F.col("rows") > most).select(*keys)
+
+
+def apart_groups(rows: DataFrame, keys: Sequence[str], many: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """As `apart`, for groups of several columns, any of which may be unknown."""
+    if many.isEmpty():
+        return rows, None
+    crowd = many.select(*[F.col(k).alias(f"crowded_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"crowded_{k}")) for k in keys]
+    return rows.join(crowd, same, "left_anti"), rows.join(crowd, same, "left_semi")
+
+
+def together(rows: DataFrame, *columns: str) -> DataFrame:
+    """Shuffle rows by a column, or by several.
 
     Partitions are not merged by their size: rows have yet to be repeated for markets and measures.
     """
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(partitions, F.col(column))
+    return rows.repartition(partitions, *[F.col(c) for c in columns])
 
 
 def gathered(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -11,16 +11,20 @@ from pyspark.sql import functions as F
 
 from forecourt.functions import expressions as X
 from forecourt.functions.rules import MIN_NS, RULES, Rule
-from forecourt.operators.histogram import attach
+from forecourt.operators.histogram import attach, value_histogram
 from forecourt.operators.listing import study_rows, with_names
 from forecourt.operators.scoring import add_sums, common_errors, common_sums, mae_own
 from forecourt.operators.study import (
+    JUDGED,
     base_stats,
     dispersion,
     estimates,
     judged,
+    judged_together,
     price_histogram,
+    prices,
 )
+from forecourt.operators.together import TOGETHER, apart_groups, crowded_groups
 from forecourt.staging import stage
 from forecourt.sources.schemas import Inputs
 
@@ -100,14 +104,48 @@ def fit(
     With `keep_rows` the ranked rows are staged, for scores over the same rows.
     """
     key = list(grain.key)
-    hist = stage(histogram(inputs, grain, start, end), "prices")
-    base = stage(base_stats(hist, key), "base")
-    rows = judged(hist, key, fitted_bounds(hist, base, key))
+    cars = stage(prices(named_rows(inputs, grain, start, end), key, carried(grain)), "prices")
+    crowd = stage(crowded_groups(cars, key, TOGETHER), "crowded")
+    return fitted_study(cars, grain, crowd, rules, min_ns, keep_rows)
+
+
+def carried(grain: Grain) -> list[str]:
+    return [c for c in grain.carry if c not in grain.key]
+
+
+def fitted_study(
+    cars: DataFrame,
+    grain: Grain,
+    crowd: DataFrame,
+    rules: Sequence[Rule] = ALL_RULES,
+    min_ns: Sequence[int] = MIN_NS,
+    keep_rows: bool = False,
+) -> Study:
+    """A fit of prices per car: keys are judged where their cars lie together, those of `crowd` by value."""
+    key, carry = list(grain.key), carried(grain)
+    hist, many = apart_groups(cars.select(*key, *carry, "bucket", "x", "n"), key, crowd)
+    rows = judged_together(hist, key, carry)
+    if many is not None:
+        counted = stage(value_histogram(many, key, carry, copies="n"), "prices")
+        base = stage(base_stats(counted, key).select(*key, "median"), "base")
+        rows = rows.unionByName(
+            judged(counted, key, fitted_bounds(counted, base, key)).select(rows.columns)
+        )
+        hist = hist.unionByName(counted)
     if keep_rows:
         rows = stage(rows, "ranked")
-    carry = [c for c in grain.carry if c not in key]
-    fitted = estimates(rows, key, rules, min_ns, keep=("mad", "meanad"), carry=carry)
-    return Study(grain, hist, base.join(fitted, key, "inner"), rows if keep_rows else None)
+    fitted = estimates(rows, key, rules, min_ns, keep=JUDGED, carry=carry)
+    described = {
+        "n": "n_group",
+        "mean": X.whole("mean"),
+        "std": X.whole("std"),
+        "median": "median",
+        "min": X.whole("low / 100D"),
+        "max": X.whole("high / 100D"),
+    }
+    rest = [c for c in fitted.columns if c not in {*key, *JUDGED}]
+    comparison = fitted.select(*key, *X.named(described), "mad", "meanad", *rest)
+    return Study(grain, hist, comparison, rows if keep_rows else None)
 
 
 def compare_methods(
@@ -129,8 +167,13 @@ def own_errors(study: Study, min_ns: Sequence[int] = MIN_NS) -> DataFrame:
 
 def scored(study: Study, score_hist: DataFrame, rules: Sequence[Rule] = ALL_RULES) -> DataFrame:
     """Score rows with the fit of their key; keys without a fit stay, with NULLs."""
+    return attach(score_hist, fit_columns(study, rules), study.grain.key, "left")
+
+
+def fit_columns(study: Study, rules: Sequence[Rule] = ALL_RULES) -> DataFrame:
+    """What scores need of a fit, by key."""
     names = [f"avg_price_{r.name}_11" for r in rules]
-    fitted = study.comparison.select(
+    return study.comparison.select(
         *study.grain.key,
         F.col("n").alias("n_group"),
         F.col("mean").alias("fit_mean"),
@@ -139,7 +182,6 @@ def scored(study: Study, score_hist: DataFrame, rules: Sequence[Rule] = ALL_RULE
         "meanad",
         *names,
     )
-    return attach(score_hist, fitted, study.grain.key, "left")
 
 
 def common_error_row(study: Study, score_hist: DataFrame) -> DataFrame:
@@ -155,13 +197,37 @@ def backtest(
     score_start: date | str,
     score_end: date | str,
 ) -> DataFrame:
-    """Fit on the days up to `fit_end`, score on the listings of a later period."""
+    """Fit on the days up to `fit_end`, score on the listings of a later period.
+
+    Listings of both periods are read and decoded at once, and those of a key are fitted and scored where they
+    lie together.
+    """
+    key = list(grain.key)
     start = fit_end - timedelta(days=fit_days - 1)
-    study = fit(inputs, grain, start, fit_end, min_ns=(11,))
-    later = study_rows(
-        inputs.hist, inputs.dealers, inputs.vins, score_start, score_end, grain.required
+    fits, scores = (X.as_date(start), X.as_date(fit_end)), (X.as_date(score_start), X.as_date(score_end))
+    first, last = F.least(fits[0], scores[0]), F.greatest(fits[1], scores[1])
+    seen = F.col("vin_last_dt")
+    periods = {"fits": seen.between(*fits), "scores": seen.between(*scores)}
+    listed = study_rows(inputs.hist, inputs.dealers, inputs.vins, first, last, grain.required)
+    ids = [c for c in ("model_year", "make_id", *(["model_id"] if grain.models else [])) if c not in key]
+    cars = prices(listed.withColumns(periods).filter("fits or scores"), key, [*ids, *periods], null_groups=True)
+    cars = stage(cars, "prices")
+    crowd = stage(crowded_groups(cars, key, TOGETHER), "crowded")
+
+    known = " and ".join(f"{c} is not null" for c in key)
+    named = with_names(
+        cars.filter("fits").filter(known), inputs.divisions, inputs.models if grain.models else None
     )
-    return common_error_row(study, stage(price_histogram(later, grain.key, null_groups=True), "scored-prices"))
+    study = fitted_study(named, grain, crowd, min_ns=(11,))
+    fitted = fit_columns(study)
+    later, many = apart_groups(cars.filter("scores").select(*key, "bucket", "x", "n"), key, crowd)
+    if many is None:
+        rows = later.join(fitted, key, "left")
+    else:
+        fitted = stage(fitted, "fitted")
+        counted = stage(value_histogram(many, key, copies="n", null_groups=True), "scored-prices")
+        rows = later.join(fitted, key, "left").unionByName(attach(counted, fitted, key, "left"))
+    return common_errors(common_sums(rows, ALL_RULES), ALL_RULES)
 
 
 def narrowest_window(

@@ -65,6 +65,41 @@ def test_common_error_counts_rows_without_a_fit(listings, cars):
     assert row["mae_kept_med"] == pytest.approx(abs(700 - estimate))
 
 
+def test_backtest_reads_listings_once_and_shuffles_them_by_key_only(listings, cars, monkeypatch):
+    reads = []
+    monkeypatch.setattr(ev, "study_rows", lambda *a: reads.append(a) or study_rows(*a))
+    row = ev.backtest(listings(cars), ev.STYLE, ago(20), 90, ago(19), AS_OF)
+    plan = row._jdf.queryExecution().executedPlan().toString()
+    assert len(reads) == 1
+    assert 1 <= plan.count("hashpartitioning(style_id") <= 2 and "hashpartitioning(style_id, bucket" not in plan
+    assert "Window" not in plan
+
+
+@pytest.mark.parametrize("grain", [ev.STYLE, ev.YMM])
+def test_crowded_keys_are_fitted_and_scored_alike(listings, cars, monkeypatch, grain):
+    late = [{"style": 3, "price": 10000 + n, "last": ago(n % 19), "make": 1, "year": "2001"} for n in range(30)]
+    unknown = [{"model": None, "price": 500 + n, "last": ago(n % 40)} for n in range(25)]
+    inputs = listings(cars + late + unknown)
+    periods = (ago(20), 90, ago(19), AS_OF)
+    together = ev.backtest(inputs, grain, *periods).first()
+    fit = rows_of(ev.fit(inputs, grain, ago(90), AS_OF).comparison, *grain.key)
+    later = study_rows(inputs.hist, inputs.dealers, inputs.vins, ago(19), AS_OF, grain.required)
+    study = ev.fit(inputs, grain, ago(109), ago(20), min_ns=(11,))
+    apart = ev.common_error_row(study, ev.price_histogram(later, grain.key, null_groups=True)).first()
+    assert together == apart
+    own = ev.own_errors(ev.fit(inputs, grain, ago(90), AS_OF, keep_rows=True)).first()
+    monkeypatch.setattr(ev, "TOGETHER", 20)
+    assert ev.backtest(inputs, grain, *periods).first() == together
+    crowded = ev.fit(inputs, grain, ago(90), AS_OF, keep_rows=True)
+    assert ev.own_errors(crowded).first() == own
+    found = rows_of(crowded.comparison, *grain.key)
+    assert found.keys() == fit.keys()
+    for key, row in found.items():
+        assert {c: round(v, 9) if isinstance(v, float) else v for c, v in row.items()} == {
+            c: round(v, 9) if isinstance(v, float) else v for c, v in fit[key].items()
+        }
+
+
 def test_windows_equal_separate_runs(listings, cars):
     inputs = listings(cars)
     study = ev.fit(inputs, ev.STYLE, ago(90), AS_OF, min_ns=(11,))
