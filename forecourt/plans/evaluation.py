@@ -37,16 +37,20 @@ ALL_DAYS = "all"
 
 @dataclass(frozen=True)
 class Grain:
-    """What a study groups by, and which columns describe a group."""
+    """What a study groups by, and which columns describe a group.
+
+    Keys that have few cars as a rule are judged where their cars lie `together`, others by value.
+    """
 
     key: tuple[str, ...]
     carry: tuple[str, ...]
     required: tuple[str, ...]
     models: bool = False
+    together: bool = True
 
 
 STYLE = Grain(("style_id",), ("model_year", "make"), ("model_year", "style_id"))
-YMM = Grain(("model_year", "make_id", "model_id"), ("make", "model"), ("model_year",), models=True)
+YMM = Grain(("model_year", "make_id", "model_id"), ("make", "model"), ("model_year",), models=True, together=False)
 
 
 def named_rows(inputs: Inputs, grain: Grain, start: date | str, end: date | str) -> DataFrame:
@@ -104,34 +108,45 @@ def fit(
     With `keep_rows` the ranked rows are staged, for scores over the same rows.
     """
     key = list(grain.key)
+    if not grain.together:
+        hist = stage(histogram(inputs, grain, start, end), "prices")
+        return study_of(grain, hist, judged_by_value(hist, key), rules, min_ns, keep_rows)
     cars = stage(prices(named_rows(inputs, grain, start, end), key, carried(grain)), "prices")
     crowd = stage(crowded_groups(cars, key, TOGETHER), "crowded")
-    return fitted_study(cars, grain, crowd, rules, min_ns, keep_rows)
+    return study_of(grain, *judged_cars(cars, grain, crowd), rules, min_ns, keep_rows)
 
 
 def carried(grain: Grain) -> list[str]:
     return [c for c in grain.carry if c not in grain.key]
 
 
-def fitted_study(
-    cars: DataFrame,
-    grain: Grain,
-    crowd: DataFrame,
-    rules: Sequence[Rule] = ALL_RULES,
-    min_ns: Sequence[int] = MIN_NS,
-    keep_rows: bool = False,
-) -> Study:
-    """A fit of prices per car: keys are judged where their cars lie together, those of `crowd` by value."""
+def judged_by_value(hist: DataFrame, key: Sequence[str]) -> DataFrame:
+    base = stage(base_stats(hist, key).select(*key, "median"), "base")
+    return judged(hist, key, fitted_bounds(hist, base, key))
+
+
+def judged_cars(cars: DataFrame, grain: Grain, crowd: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Price histogram and judged rows of prices per car: keys of `crowd` go by value."""
     key, carry = list(grain.key), carried(grain)
     hist, many = apart_groups(cars.select(*key, *carry, "bucket", "x", "n"), key, crowd)
     rows = judged_together(hist, key, carry)
     if many is not None:
         counted = stage(value_histogram(many, key, carry, copies="n"), "prices")
-        base = stage(base_stats(counted, key).select(*key, "median"), "base")
-        rows = rows.unionByName(
-            judged(counted, key, fitted_bounds(counted, base, key)).select(rows.columns)
-        )
+        rows = rows.unionByName(judged_by_value(counted, key).select(rows.columns))
         hist = hist.unionByName(counted)
+    return hist, rows
+
+
+def study_of(
+    grain: Grain,
+    hist: DataFrame,
+    rows: DataFrame,
+    rules: Sequence[Rule] = ALL_RULES,
+    min_ns: Sequence[int] = MIN_NS,
+    keep_rows: bool = False,
+) -> Study:
+    """Estimates of judged rows, beside the base statistics."""
+    key, carry = list(grain.key), carried(grain)
     if keep_rows:
         rows = stage(rows, "ranked")
     fitted = estimates(rows, key, rules, min_ns, keep=JUDGED, carry=carry)
@@ -218,7 +233,7 @@ def backtest(
     named = with_names(
         cars.filter("fits").filter(known), inputs.divisions, inputs.models if grain.models else None
     )
-    study = fitted_study(named, grain, crowd, min_ns=(11,))
+    study = study_of(grain, *judged_cars(named, grain, crowd), min_ns=(11,))
     fitted = fit_columns(study)
     later, many = apart_groups(cars.filter("scores").select(*key, "bucket", "x", "n"), key, crowd)
     if many is None:
