@@ -7,7 +7,8 @@ the identifier makes the highest scores a draw without replacement.
 The score of the last row drawn is found by weighted median of medians: each partition gives the
 median of its keys that are still open and their number, the median of these medians by weight
 is the pivot, and at least a quarter of the open keys lies on the side that cannot hold the cutoff.
-The driver sees one row per partition and round. Winners are then sorted by range.
+The driver sees one row per partition and round. Winners are then sorted by range; the ranges' bounds
+are chosen by weight in the same way, from evenly spaced rows of each partition.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from forecourt.llm import byte_words
 from forecourt.llm.arrow_words import slices
@@ -26,6 +28,8 @@ from forecourt.llm.frames import column
 from forecourt.staging import stage
 
 MOST_BUCKETS = 1 << 20
+SPREAD = 100  # rows of a partition that stand for all, where ranges are chosen
+RANGES = 4  # per shuffle partition
 
 Key = tuple[int, ...]
 
@@ -239,18 +243,65 @@ def ordered(rows: DataFrame) -> DataFrame:
     )
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Per partition, up to SPREAD of its rows at even distances in order, with how many each stands for."""
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[batch[c].to_numpy() for c in names] for batch in batches]
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        if not columns or not len(columns[0]):
+            return
+        ends = np.unique(-(-np.arange(1, SPREAD + 1) * len(columns[0]) // SPREAD))
+        at = np.lexsort(columns[::-1])[ends - 1]
+        chosen = {c: v[at] for c, v in zip(names, columns, strict=True)}
+        yield pa.record_batch(chosen | {"n": np.diff(ends, prepend=0)})
+
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "n"]))
+
+
+def bounds(rows: DataFrame, ranges: int) -> list[Key]:
+    """Last rows of all but the last of some `ranges` ranges of about as many rows each, in order of all columns.
+
+    The driver sees SPREAD rows per partition at most.
+    """
+    found = sorted(tuple(r) for r in _spread(rows).collect())
+    upto = np.cumsum([r[-1] for r in found])
+    wanted = np.arange(1, ranges) * (upto[-1] / ranges) if found else []
+    return [found[i][:-1] for i in np.unique(np.searchsorted(upto, wanted)) if i < len(found) - 1]
+
+
+def parted(rows: DataFrame, by: list[str], ends: list[Key]) -> DataFrame:
+    """`rows` with `part`, the number of `ends` below the row in order of the columns `by`."""
+    shared = rows.sparkSession.sparkContext.broadcast(np.array(ends, np.int64).reshape(-1, len(by)).T)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [np.concatenate([batch[c].to_numpy(), e]) for c, e in zip(by, shared.value, strict=True)]
+            order = np.lexsort(columns[::-1])  # a row comes before an end equal to it
+            part = np.empty(len(order), np.int64)
+            part[order] = np.cumsum(order >= batch.num_rows)
+            yield batch.append_column("part", pa.array(part[: batch.num_rows]))
+
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("part", LongType())]))
+
+
 def numbered(rows: DataFrame) -> DataFrame:
-    """`rows` (read from files) with their `rank` from 1 in ORDER: sorted by range, counted per range."""
-    tie = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-    ranged = rows.withColumn("tie", tie).repartitionByRange(*ORDER, "tie")
-    ranged = stage(ranged.withColumn("part", F.spark_partition_id()), "winners")
+    """`rows` (read from files) with their `rank` from 1 in ORDER: cut into ranges, sorted and counted per range.
+
+    The ranges' bounds are fixed beforehand, so that rows need not be written to keep their range.
+    """
+    by = [*ORDER, "tie"]
+    rows = rows.withColumn("tie", F.xxhash64("_metadata.file_path", "_metadata.row_index"))
+    ranges = RANGES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = parted(rows, by, bounds(rows.select(*by), ranges))
     before = Window.orderBy("part")  # over one row per range
     offsets = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select(
         "part", (F.sum("n").over(before) - F.col("n")).alias("earlier")
     )
-    within = Window.partitionBy("part").orderBy(*ORDER, "tie")
+    within = Window.partitionBy("part").orderBy(*by)
     return (
-        ranged.join(offsets, "part")
+        ranged.join(F.broadcast(offsets), "part")
         .withColumn("rank", F.col("earlier") + F.row_number().over(within))
         .drop("part", "earlier", "tie")
     )

@@ -92,6 +92,32 @@ def test_cutoff(spark, saved, k):
         resample.cutoff(df, 501)
 
 
+def test_only_features_and_scores_are_written(spark, monkeypatch):
+    labels, stage = [], resample.stage
+    monkeypatch.setattr(resample, "stage", lambda df, label, **kw: labels.append(label) or stage(df, label, **kw))
+    rows = [(i, f"word {i % 9} again") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    target = spark.createDataFrame([("same again",)], "text string")
+    got = resample.resample(docs, target, 50, min_words=1).collect()
+    assert sorted(r.rank for r in got if r.rank) == list(range(1, 151))
+    assert labels == ["features", "scored"]
+
+
+@pytest.mark.parametrize("n, ranges", [(0, 3), (1, 3), (40, 1), (40, 7), (5000, 16), (300, 2000)])
+def test_ranges_are_even_and_in_order(spark, saved, n, ranges):
+    rng = random.Random(n)
+    rows = [(rng.randrange(-3, 3), rng.randrange(1 << 40)) for _ in range(n)]
+    df = saved(spark.createDataFrame(rows, "a long, b long").repartition(4))
+    ends = resample.bounds(df, ranges)
+    assert ends == sorted(set(ends)) and len(ends) < ranges
+    parts = {}
+    for a, b, part in resample.parted(df, ["a", "b"], ends).collect():
+        parts.setdefault(part, []).append((a, b))
+    assert sum((sorted(parts[p]) for p in sorted(parts)), []) == sorted(rows)
+    assert all(sorted(parts[i])[-1] == end for i, end in enumerate(ends))
+    assert max(map(len, parts.values()), default=0) <= n / ranges + n / resample.SPREAD + 4
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.integers(-50, 50), st.integers(1, 9)), min_size=1, max_size=12))
 def test_weighted_median_leaves_half_on_either_side(parts):
