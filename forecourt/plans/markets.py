@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,8 @@ from forecourt.operators.histogram import value_histogram
 from forecourt.operators.listing import MEASURES
 from forecourt.operators.market import BANDS, NATIONWIDE, band_counts, market_pairs, market_reach
 from forecourt.operators.metrics import (
+    LISTED,
+    SOLD,
     SUPPLY_MIN_N,
     days_supply,
     measured_rows,
@@ -37,8 +39,12 @@ from forecourt.staging import stage
 # Snapshots and how many days before `as_of` they reach; today is the day before.
 WINDOWS = {"today": 1, "45_day": 45, "60_day": 60, "90_day": 90}
 STATES = ("sold", "lstd")
+KINDS = ("sold", "lstd", "moved_on")
 STATISTICS = tuple(f"{s}_{state}" for s in ("avg", "max", "min", "median") for state in STATES)
 
+# Room for a number of cars of a group in `_wide_of_styles`, of which it puts three into a bigint.
+_COUNT_BITS = 21
+
 
 def metric_matrix_bands(
     inputs: Inputs,
@@ -138,6 +144,8 @@ def wide_metrics(inputs: Inputs, as_of: date | str, bands: Sequence[int] = BANDS
     Cars moved on were first seen within the snapshot too. Statistics of a measure count values above
     zero and are trimmed within scope, snapshot and sold state; days of supply divide
     by the snapshot's days. Everything is NULL, and counts too, where a dealer has no market.
+    Cars of a style meet by a single shuffle for all scopes and snapshots, where few enough are repeated for its
+    markets; other styles are counted by value.
     """
     facts = stage(
         daily_facts(inputs, as_of, max(WINDOWS.values()) + 1)
@@ -153,21 +161,129 @@ def wide_metrics(inputs: Inputs, as_of: date | str, bands: Sequence[int] = BANDS
         .filter("age is not null"),
         "wide-facts",
     )
-    windows = list(WINDOWS)
+    many = stage(T.crowded_markets(facts, "style_id", "zip", T.TOGETHER, T.REPEATED), "crowded")
+    few, rest = T.apart(facts, "style_id", many)
+    wide = _wide_of_styles(few, inputs.zipdist, bands)
+    if rest is not None:
+        wide = wide.unionByName(_wide_of_values(rest, inputs.zipdist, bands))
+    return wide.withColumn("calendar_date", X.as_date(as_of))
+
+
+def _supplies(bands: Sequence[int], counts: Mapping[str, str]) -> dict[str, str]:
+    """Days of supply per scope and snapshot, from SQL text of the counts."""
+    found = {}
+    for s in ("dealer", *[f"{b}_mile_market" for b in bands], NATIONWIDE):
+        for w, days in WINDOWS.items():
+            lstd, sold = (counts[f"cars_{state}_{s}_{w}"] for state in ("lstd", "sold"))
+            found[f"days_supply_{s}_{w}"] = days_supply(lstd, f"if({sold} >= {SUPPLY_MIN_N}, {sold}, 0L)", days)
+    return found
+
+
+def _flags() -> dict[str, str]:
+    """Conditions of the counts of each snapshot, as SQL text over a car's classes."""
     flags = {}
-    for i, w in enumerate(windows):
-        seen = F.col("age") <= i
-        flags[f"cars_sold_{w}"] = seen & (F.col("sold") == 1)
-        flags[f"cars_lstd_{w}"] = seen & (F.col("sold") == 0)
-        flags[f"cars_moved_on_{w}"] = seen & (F.col("first_age") <= i)
+    for i, w in enumerate(WINDOWS):
+        flags[f"cars_sold_{w}"] = f"age <= {i} and sold = {SOLD}"
+        flags[f"cars_lstd_{w}"] = f"age <= {i} and sold = {LISTED}"
+        flags[f"cars_moved_on_{w}"] = f"age <= {i} and first_age <= {i}"
+    return flags
+
+
+def _wide_of_styles(facts: DataFrame, zipdist: DataFrame, bands: Sequence[int]) -> DataFrame:
+    """The wide row's counts and statistics, of cars of which a task can hold all that share the style.
+
+    Each car is repeated for the nation, its dealer and the style's zips that it is near. A group of any of these scopes
+    has cells, by age and band. Those with the same oldest and farthest car hold the same cars, so `at` names a
+    cell by these two, and statistics are computed once per name. `market` and `nation` come to the dealer's rows by a
+    window, as all rows of a style are in the same task.
+    """
+    windows, size = list(WINDOWS), len(bands)
+    columns = ["style_id", "dealer_id", "zip", "sold", "age", "first_age", *MEASURES]
+    cars = T.together(facts.select(*columns), "style_id").selectExpr(
+        "*", "collect_set(zip) over (partition by style_id) as zips"
+    )
+    scopes = "array(struct(0 as scope, string(null) as centre), struct(1 as scope, string(null) as centre))"
+    repeated = cars.selectExpr(*columns, f"inline(concat({scopes}, transform(zips, z -> struct(2 as scope, z as centre))))")
+    near = zipdist.filter(F.col("distance") <= max(bands)).select(
+        F.col("zip1").alias("centre"), F.col("zip2").alias("zip"), narrowest(F.col("distance"), bands).alias("near")
+    )
+    located = repeated.join(near, ["centre", "zip"], "left").withColumn("band", F.expr("if(scope = 2, near, 0)"))
+    group = ["style_id", "scope", "dealer", "place"]
+    own = {"dealer": "if(scope = 1, dealer_id, null)", "place": "if(scope = 2, centre, if(scope = 1, zip, null))"}
+    placed = located.filter("band is not null").select(
+        "style_id", "scope", *X.named(own), "sold", "age", "first_age", "band", *MEASURES
+    )
+
+    # Counts of sold, listed and moved-on cars of a cell travel as one number.
+    if T.TOGETHER >> _COUNT_BITS:
+        raise ValueError(f"a task may hold fewer than {1 << _COUNT_BITS} cars")
+    cells = [(i, j) for i in range(len(windows)) for j in range(size)]
+    states = f"if(sold = {SOLD}, 1L, 0L) + if(sold = {LISTED}, {1 << _COUNT_BITS}L, 0L)"
+    counted = {
+        f"n_{i}_{j}": f"sum(if(age <= {i} and band <= {j}, {states} + if(first_age <= {i}, {1 << 2 * _COUNT_BITS}L, 0L), 0L))"
+        for i, j in cells
+    }
+    counted |= {f"band_{i}": f"min(if(age = {i}, band, null))" for i in range(len(windows))}
+    counted |= {f"age_{j}": f"min(if(band = {j}, age, null))" for j in range(size)}
+    groups = placed.groupBy(*group).agg(
+        F.collect_list(F.struct("sold", "age", "band", *MEASURES)).alias("cars"), *X.named(counted)
+    )
+
+    def last(column: str, upto: int, within: int) -> str:
+        return f"case {' '.join(f'when {column}_{k} <= {within} then {k}' for k in reversed(range(upto + 1)))} end"
+
+    names = [f"({last('band', i, j)}) * {size} + ({last('age', j, i)})" for i, j in cells]
+    arrays = {"counts": f"array({', '.join(f'n_{i}_{j}' for i, j in cells)})", "at": f"array({', '.join(names)})"}
+    listed = groups.select(*group, "cars", *X.named(arrays))
+    apart = listed.selectExpr("*", "posexplode(array_distinct(array_compact(at))) as (i, cell)")
+    inside = f"filter(cars, c -> c.age <= cell div {size} and c.band <= cell % {size})"
+    once = {c: f"if(i = 0, {c}, null)" for c in ("counts", "at")}
+    held = apart.select(*group, "cell", *X.named(once | {"cars": f"if(cell = at[size(at) - 1], cars, {inside})"}))
+    found = T.statistics_of_cars(held, [*group, "cell", "counts", "at"], MEASURES)
+    entry = f"struct(cell, struct({', '.join(MEASURES)}) as statistics)"
+    whole = found.groupBy(*group).agg(
+        F.expr(f"map_from_entries(collect_list({entry})) as statistics"),
+        *X.named({c: f"first({c}, true)" for c in once}),
+    )
+    # One after the other, so that the rows' order by style and place serves both.
+    joined = whole
+    for scope, name, by in ((2, "market", "style_id, place"), (0, "nation", "style_id")):
+        there = f"if(scope = {scope}, struct(counts, at, statistics), null)"
+        joined = joined.selectExpr("*", f"first({there}, true) over (partition by {by}) as {name}")
+    joined = joined.filter("scope = 1")
+
+    def of(part: str, scope: str, j: int = 0) -> dict[str, str]:
+        n, statistics, room = {}, {}, (1 << _COUNT_BITS) - 1
+        for i, w in enumerate(windows):
+            cell = i * size + j
+            for k, kind in enumerate(KINDS):
+                shift = k * _COUNT_BITS
+                n[f"cars_{kind}_{scope}_{w}"] = f"(shiftright({part}counts[{cell}], {shift}) & {room}L)"
+            for m in MEASURES:
+                for s in STATISTICS:
+                    name, state = s.split("_")
+                    statistics[f"{name}_{m}_{state}_{scope}_{w}"] = f"{part}statistics[{part}at[{cell}]].{m}.{s}"
+        return n | statistics
+
+    wide = of("", "dealer") | of("nation.", NATIONWIDE)
+    for j, b in enumerate(bands):
+        wide |= of("market.", f"{b}_mile_market", j)
+    # All columns in one projection: a row of hundreds is costly to write twice.
+    return joined.select("style_id", F.col("dealer").alias("dealer_id"), *X.named(wide | _supplies(bands, wide)))
+
+
+def _wide_of_values(facts: DataFrame, zipdist: DataFrame, bands: Sequence[int]) -> DataFrame:
+    """As `_wide_of_styles`, of any number of cars: values are counted, and the counts sent to the markets."""
+    windows = list(WINDOWS)
+    flags = _flags()
     counted = stage(
         facts.groupBy("dealer_id", "style_id", "zip").agg(
-            *[F.sum(X.snapshot_flag(c)).alias(name) for name, c in flags.items()]
+            *[F.sum(X.snapshot_flag(F.expr(c))).alias(name) for name, c in flags.items()]
         ),
         "wide-counts",
     )
     dealer = counted.select("dealer_id", "style_id", "zip", *_scoped(flags, "dealer"))
-    near = band_counts(counted, inputs.zipdist, ["style_id"], list(flags), bands)
+    near = band_counts(counted, zipdist, ["style_id"], list(flags), bands)
     for b in bands:
         near = near.withColumnsRenamed({f"{f}_{b}": _in_scope(f, f"{b}_mile_market") for f in flags})
     nation = counted.groupBy("style_id").agg(
@@ -180,7 +296,7 @@ def wide_metrics(inputs: Inputs, as_of: date | str, bands: Sequence[int] = BANDS
         "dealer": cell_histogram(values, ["dealer_id", "style_id", "measure", "sold"], ages, "n"),
         NATIONWIDE: cell_histogram(values, ["style_id", "measure", "sold"], ages, "n"),
     }
-    reach = market_reach(inputs.zipdist, counted, ["style_id"], max(bands)).select(
+    reach = market_reach(zipdist, counted, ["style_id"], max(bands)).select(
         "zip", "style_id", "zip2", narrowest(F.col("distance"), bands).alias("band")
     )
     zipped = value_histogram(values, ["zip"], ["style_id", "measure", "sold", "age"], copies="n")
@@ -202,14 +318,7 @@ def wide_metrics(inputs: Inputs, as_of: date | str, bands: Sequence[int] = BANDS
         found[scope] = found[scope].join(statistics, keys, "left")
     wide = found["dealer"].join(found[NATIONWIDE], "style_id")
     wide = wide.join(found["market"], ["zip", "style_id"], "left")
-    supplies = {
-        f"days_supply_{s}_{w}": days_supply(
-            f"cars_lstd_{s}_{w}", f"if(cars_sold_{s}_{w} >= {SUPPLY_MIN_N}, cars_sold_{s}_{w}, 0L)", days
-        )
-        for s in ("dealer", *[f"{b}_mile_market" for b in bands], NATIONWIDE)
-        for w, days in WINDOWS.items()
-    }
-    return wide.select("*", *X.named(supplies), X.as_date(as_of).alias("calendar_date")).drop("zip")
+    return wide.select("*", *X.named(_supplies(bands, {c: c for c in wide.columns}))).drop("zip")
 
 
 def _own_values(facts: DataFrame) -> DataFrame:

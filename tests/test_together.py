@@ -99,3 +99,38 @@ def test_refreshed_matrix_of_crowded_keys_is_the_same_and_others_are_not_ranked_
         dims[most] = {r.dim for r in staged["values"].select("dim").distinct().collect()}
     assert found[10_000] == found[3] == found[0]
     assert dims[10_000] == {"zip", *daily.SNAPSHOTS} and dims[0] == set(daily.DIMENSIONS)
+
+
+def test_wide_rows_of_crowded_styles_are_the_same_and_others_are_not_counted_by_value(mixed, monkeypatch):
+    staged = []
+
+    def stage(df, label):
+        staged.append(label)
+        return staging.stage(df, label)
+
+    monkeypatch.setattr(markets, "stage", stage)
+    found = {}
+    for most, repeated in ((10_000, 100_000), (10_000, 100), (12, 100_000)):
+        monkeypatch.setattr(together, "TOGETHER", most)
+        monkeypatch.setattr(together, "REPEATED", repeated)
+        staged.clear()
+        found[most, repeated] = sorted_rows(markets.wide_metrics(mixed, AS_OF))
+        assert ("wide-values" in staged) == ((most, repeated) != (10_000, 100_000)), staged
+    one, *others = found.values()
+    assert len(one) > 40 and all(other == one for other in others)
+
+
+def test_wide_rows_of_a_style_are_shuffled_once(spark):
+    inputs = tpch.staged_inputs(spark, SF)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(markets.wide_metrics(inputs, AS_OF))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(re.findall(r"(?<!Broadcast)Exchange (?:hash|range|Round|Single)", plan)) == 1, plan
+
+
+def test_values_with_many_rows_or_places_are_crowded(spark):
+    rows = spark.createDataFrame([(1, "a")] * 5 + [(2, z) for z in "abcd"] + [(3, "a"), (3, None)], "k int, zip string")
+    assert {r.k for r in together.crowded_markets(rows, "k", "zip", 4, 15).collect()} == {1, 2}
+    assert {r.k for r in together.crowded_markets(rows, "k", "zip", 5, 16).collect()} == set()
